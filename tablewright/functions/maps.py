@@ -39,4 +39,4 @@ def translate_values(col: Column, dictionary: Mapping[object, object]) -> Column
     if not dictionary:
         return F.lit(None).cast("string")
     literals = F.create_map(*(F.lit(x) for x in chain.from_iterable(dictionary.items())))
-    return literals.getItem(col)
+    return literals[col]

@@ -61,7 +61,7 @@ def columns_to_lists(
         named(order).alias("__order"),
         F.struct(*(named(c) for c in columns)).alias("__values"),
     )
-    entries = F.array_sort(F.collect_list(F.struct("__position", "__values")))
+    entries = F.sort_array(F.collect_list(F.struct("__position", "__values")))
     chunks = (
         _chunks(sliced, by, [F.col("__order")], chunk_size)
         .groupBy(*(named(c) for c in by), "slice", "chunk")
@@ -71,14 +71,11 @@ def columns_to_lists(
         *(named(c) for c in by),
         "slice",
         "chunk",
-        *(_pluck("__entries", c).alias(c) for c in columns),
+        # A field of an array of structs is the array of that field.
+        *(F.col("__entries").getField("__values").getField(c).alias(c) for c in columns),
     )
 
 
-def _pluck(entries: str, column: str) -> Column:
-    return F.transform(F.col(entries), lambda e: e["__values"].getField(column))
-
-
 def column_to_list(
     df: DataFrame,
     column: str,

@@ -71,7 +71,7 @@ def sample_without_replacement(
     keys: Sequence[str],
     seed: int,
     merged_rows: int = MERGED_SAMPLE_ROWS,
-    prefix_digits: int = 5,
+    prefix_digits: int = 4,
 ) -> DataFrame:
     """Exactly ``k`` different rows (all, if there are fewer) for any ``k``.
 
