@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,16 +18,36 @@ BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD_BYTES = 64
 # A key with more than this share of all rows is hot; there can be at most 1/share of them.
 HOT_SHARE = 1 / 500
+# Enough rows to see a share of that size: a hot key has some 2,000 of them.
+HOT_SAMPLE_ROWS = 1_000_000
+
+
+def _width(df: DataFrame) -> Column:
+    """An upper-end estimate of a row's size in memory."""
+    texts = (F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in df.columns)
+    fixed = F.lit(ROW_OVERHEAD_BYTES + 8 * len(df.columns)).cast("bigint")
+    return reduce(lambda a, b: a + b, texts, fixed)
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """An upper-end estimate of a table's size in memory, by one distributed aggregate."""
-    width = reduce(
-        lambda a, b: a + b,
-        (F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in df.columns),
-        F.lit(ROW_OVERHEAD_BYTES + 8 * len(df.columns)).cast("bigint"),
+    """A table's size in memory, estimated by one distributed aggregate."""
+    return df.agg(F.sum(_width(df)).alias("bytes")).first()["bytes"] or 0
+
+
+@dataclass(frozen=True)
+class Profile:
+    rows: int
+    keys: int
+    bytes: int
+
+
+def profile(df: DataFrame, keys: Sequence[str]) -> Profile:
+    """Number of rows, of different keys, and size, by one job."""
+    per_key = df.groupBy(*(named(k) for k in keys)).agg(
+        F.count(F.lit(1)).alias("__rows"), F.sum(_width(df)).alias("__bytes")
     )
-    return df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
+    found = per_key.agg(F.sum("__rows"), F.count(F.lit(1)), F.sum("__bytes")).first()
+    return Profile(*(n or 0 for n in found))
 
 
 def _matches(
@@ -42,16 +63,19 @@ def join_unique(
     on: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
+    table_bytes: int | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join ``df`` with a table that holds each key at most once.
 
-    A table of at most ``max_broadcast_bytes``, measured, is broadcast.  A larger one is
-    shuffled, but not for the hot keys of ``df``: the keys with more than ``hot_share`` of
-    its rows are found by a pre-aggregated count, there are at most ``1 / hot_share`` of
-    them, and so their few table rows are broadcast.  No row of a hot key is shuffled, and
-    none is dropped.  ``null_safe`` lets NULL keys match NULL keys.
+    A table of at most ``max_broadcast_bytes`` (``table_bytes``, or measured) is broadcast.
+    A larger one is shuffled, but not for the hot keys of ``df``: there are at most
+    ``1 / hot_share`` keys with more than that share of its rows, and so their few table
+    rows are broadcast.  No row of a hot key is shuffled, and none is dropped.
+    ``null_safe`` lets NULL keys match NULL keys.
+
+    ``df`` is read up to four times; ``checkpoint()`` it first if it is dear to compute.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -67,7 +91,9 @@ def join_unique(
             *(named(c) for c in rows.columns), *(named(c) for c in kept)
         )
 
-    if measured_bytes(table) <= max_broadcast_bytes:
+    if table_bytes is None:
+        table_bytes = measured_bytes(table)
+    if table_bytes <= max_broadcast_bytes:
         return joined(df, F.broadcast(table))
 
     hot = hot_keys(df, on, keys, hot_share)
@@ -87,14 +113,24 @@ def join_unique(
 
 
 def hot_keys(
-    df: DataFrame, on: Sequence[str], names: Sequence[str], share: float = HOT_SHARE
+    df: DataFrame,
+    on: Sequence[str],
+    names: Sequence[str],
+    share: float = HOT_SHARE,
+    sample_rows: int = HOT_SAMPLE_ROWS,
 ) -> DataFrame | None:
-    """The keys with more than ``share`` of all rows, as a local table; None if there are none."""
-    counts = df.groupBy(*(named(c).alias(k) for c, k in zip(on, names))).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    # At most 1 / share rows reach the driver.
-    found = counts.where(F.col("__rows") > F.lit(share * df.count())).drop("__rows")
+    """The keys with more than ``share`` of all rows, as a local table; None if there are none.
+
+    Of a large table a sample is counted, which decides only by which way a row is joined:
+    whatever it misses is joined all the same.
+    """
+    total = df.count()
+    fraction = min(1.0, sample_rows / max(total, 1))
+    keys = df.select(*(named(c).alias(k) for c, k in zip(on, names)))
+    counted = keys.sample(fraction, seed=0) if fraction < 1 else keys
+    counts = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"))
+    # About 1 / share rows at most reach the driver.
+    found = counts.where(F.col("__rows") > F.lit(share * fraction * total)).drop("__rows")
     rows = found.collect()
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
@@ -115,12 +151,23 @@ def map_values_from(
 ) -> DataFrame:
     """Look ``column`` up in a mapping table; NULL where it is missing.
 
-    The mapping may be as large as it likes: see :func:`join_unique`.
+    The mapping may be as large as it likes: see :func:`join_unique`.  Of several values
+    for a key the greatest is taken.
     """
-    entries = unique_keys(mapping.where(named(key).isNotNull()), key, value).select(
+    entries = mapping.where(named(key).isNotNull()).select(
         named(key).alias(column), named(value).alias(output)
     )
-    return join_unique(df, entries, [column], "left", max_broadcast_bytes=max_broadcast_bytes)
+    found = profile(entries, [column])
+    if found.keys < found.rows:
+        entries = unique_keys(entries, column, output)
+    return join_unique(
+        df,
+        entries,
+        [column],
+        "left",
+        table_bytes=found.bytes,
+        max_broadcast_bytes=max_broadcast_bytes,
+    )
 
 
 def map_values(

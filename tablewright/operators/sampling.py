@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.chance import hash_text
+from tablewright.functions.chance import HASH_RANGE, hash_text
 from tablewright.operators.lookups import BROADCAST_BYTES, join_unique
 from tablewright.operators.names import named
 from tablewright.sources.scratch import checkpointed
 
 # Up to this many rows a sample is one bounded sort per task and one merge.
 MERGED_SAMPLE_ROWS = 10_000
+# Into how many parts of about equal size a large sample is counted.
+PREFIXES = 1 << 16
+DIGEST = "__digest"
 
 
 def rank_top_k(
@@ -61,34 +65,57 @@ def sample_top_k(
     """``k`` random rows; with a seed and a unique key always the same ones."""
     if seed is None:
         return df.orderBy(F.rand()).limit(k)
-    columns = [named(c) for c in _required(keys)]
-    return df.orderBy(hash_text(seed, columns), *columns).limit(k)
+    return _least(_with_digest(df, keys, seed), keys, k).drop(DIGEST)
+
+
+def _with_digest(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+    # A column of its own: as a sort expression it would be worked out at every comparison.
+    if not keys:
+        raise ValueError("a seeded sample needs the columns of a unique key")
+    return df.withColumn(DIGEST, hash_text(seed, [named(c) for c in keys]))
+
+
+def _least(hashed: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    return hashed.orderBy(DIGEST, *(named(c) for c in keys)).limit(k)
 
 
 def sample_without_replacement(
-    df: DataFrame,
-    k: int,
-    keys: Sequence[str],
-    seed: int,
-    merged_rows: int = MERGED_SAMPLE_ROWS,
-    prefix_digits: int = 4,
+    df: DataFrame, k: int, keys: Sequence[str], seed: int, merged_rows: int = MERGED_SAMPLE_ROWS
 ) -> DataFrame:
     """Exactly ``k`` different rows (all, if there are fewer) for any ``k``.
 
     The sample is the rows with the least hashes.  A small one is a top-k.  A large one
-    would be merged in a single task by that, so instead the rows are counted by hash
-    prefix, the prefix that reaches ``k`` is found, the rows below it are kept by a filter,
-    and only the few rows of that one prefix are ordered.
+    would be merged in a single task by that; instead the rows below a hash that is just
+    high enough are set aside in the shared folder, and cut down to ``k`` by
+    :func:`_cut`.  Hashes being uniform, the first guess at that hash is nearly always
+    enough; if it is not, it is raised until it is.
     """
     if k <= merged_rows:
         return sample_top_k(df, k, keys, seed)
-    columns = [named(c) for c in _required(keys)]
-    digest = hash_text(seed, columns)
-    prefix = F.substring(digest, 1, prefix_digits)
-    # At most 16**prefix_digits rows, whatever the size of the data.
+    hashed = _with_digest(df, keys, seed)
+    total = df.count()
+    wanted = k + 6 * math.sqrt(k) + 100
+    while wanted < total:
+        below = f"{int(wanted / total * HASH_RANGE):08x}"
+        candidates = checkpointed(hashed.where(F.col(DIGEST) < F.lit(below)))
+        if candidates.count() >= k:
+            return _cut(candidates, k, keys, total).drop(DIGEST)
+        wanted *= 4
+    return _cut(checkpointed(hashed), k, keys, total).drop(DIGEST) if k < total else df
+
+
+def _cut(hashed: DataFrame, k: int, keys: Sequence[str], total: int) -> DataFrame:
+    """The ``k`` rows with the least hashes, by counting rows per hash prefix.
+
+    The prefix that reaches ``k`` is found, the rows below it are kept by a filter, and only
+    the few rows of that one prefix are ordered.
+    """
+    digits = math.ceil(math.log(PREFIXES * max(total / k, 1), 16)) if k else 1
+    prefix = F.substring(DIGEST, 1, digits)
+    # About PREFIXES rows, whatever the size of the data: few enough for one task.
     running = F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
     reached = (
-        df.groupBy(prefix.alias("prefix"))
+        hashed.groupBy(prefix.alias("prefix"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select("prefix", "n", running.alias("total"))
         .where(F.col("total") >= k)
@@ -96,13 +123,7 @@ def sample_without_replacement(
         .first()
     )
     if reached is None:
-        return df
+        return hashed
+    edge = hashed.where(prefix == reached["prefix"])
     missing = k - (reached["total"] - reached["n"])
-    edge = df.where(prefix == reached["prefix"]).orderBy(digest, *columns).limit(missing)
-    return df.where(prefix < reached["prefix"]).unionByName(edge)
-
-
-def _required(keys: Sequence[str]) -> Sequence[str]:
-    if not keys:
-        raise ValueError("a seeded sample needs the columns of a unique key")
-    return keys
+    return hashed.where(prefix < reached["prefix"]).unionByName(_least(edge, keys, missing))
