@@ -113,18 +113,29 @@ def pivot_count_transposed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A group of more than LIST_CHUNK rows is cut into equal slices of its range of keys.
+SLICED_SQL = """
+    SELECT *, (row_number() OVER (PARTITION BY grp, slice ORDER BY o_orderkey) - 1) // 1000 AS chunk
+    FROM (SELECT *, CASE WHEN n <= 1000 OR high = low THEN 0
+                         ELSE least(floor((o_orderkey - low) / (high - low) * m), m - 1) END::BIGINT
+                    AS slice
+          FROM (SELECT *, ceil(n * 1.25::DOUBLE / 1000) AS m
+                FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n,
+                             min(o_orderkey) OVER (PARTITION BY grp)::DOUBLE AS low,
+                             max(o_orderkey) OVER (PARTITION BY grp)::DOUBLE AS high
+                      FROM (SELECT *, {group} AS grp FROM orders))))
+    """
+
+
 @query(
     "agg_collect_list",
-    """
-    SELECT o_orderpriority, slice, chunk::INTEGER AS chunk,
+    f"""
+    SELECT grp AS o_orderpriority, slice, chunk::INTEGER AS chunk,
            coalesce(string_agg(date::VARCHAR, ',' ORDER BY o_orderkey), '') AS dates,
            max(date) AS max_date
-    FROM (SELECT *, (row_number() OVER (PARTITION BY o_orderpriority, slice ORDER BY o_orderkey) - 1)
-                    // 1000 AS chunk
-          FROM (SELECT o_orderpriority, o_orderkey, o_orderkey // 1000 AS slice,
-                       CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
-                FROM orders))
-    GROUP BY o_orderpriority, slice, chunk
+    FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
+          FROM ({SLICED_SQL.format(group="o_orderpriority")}))
+    GROUP BY grp, slice, chunk
     """,
 )
 def collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +152,10 @@ def collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_column_to_list",
-    """
-    SELECT o_orderkey // 1000 AS slice, CAST(0 AS INTEGER) AS chunk, count(*)::INTEGER AS size,
+    f"""
+    SELECT slice, chunk::INTEGER AS chunk, count(*)::INTEGER AS size,
            string_agg(o_orderpriority, ',' ORDER BY o_orderkey) AS priorities
-    FROM orders GROUP BY slice
+    FROM ({SLICED_SQL.format(group="1")}) GROUP BY slice, chunk
     """,
 )
 def column_to_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,19 +178,19 @@ def column_to_list(spark: SparkSession, sf_dir: str) -> DataFrame:
            string_agg(o_custkey::VARCHAR, ',' ORDER BY o_orderkey) AS customers
     FROM (SELECT *, (row_number() OVER (PARTITION BY o_orderstatus, slice ORDER BY o_orderkey) - 1)
                     // 1000 AS chunk
-          FROM (SELECT *, year(o_orderdate) AS slice FROM orders))
+          FROM (SELECT *, o_orderkey // 5000 AS slice FROM orders))
     GROUP BY o_orderstatus, slice, chunk
     """,
 )
 def two_columns_to_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Sliced by year instead; a slice larger than a chunk becomes several chunks.
+    # Slices of the caller's: at most 5,000 rows each, as keys are unique, and several chunks.
     lists = L.two_columns_to_lists(
         table(spark, sf_dir, "orders"),
         "o_orderkey",
         "o_custkey",
         "o_orderkey",
         ["o_orderstatus"],
-        slice_by=F.year("o_orderdate").cast("bigint"),
+        slice_by=F.floor(F.col("o_orderkey") / 5000),
         chunk_size=LIST_CHUNK,
     )
     return lists.select(

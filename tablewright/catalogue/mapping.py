@@ -173,24 +173,24 @@ def from_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "map_from_grouped_lists",
     """
-    SELECT customer, slice, keys
-    FROM (SELECT o_custkey AS customer, o_orderkey // 10000 AS slice,
-                 string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS keys
-          FROM orders GROUP BY ALL)
+    SELECT o_custkey AS customer, CAST(0 AS BIGINT) AS slice, CAST(0 AS INTEGER) AS chunk,
+           string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS keys
+    FROM orders GROUP BY o_custkey
     """,
 )
 def from_grouped_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The dictionary of lists: group to list, then (group, slice) to the list.
-    lists = lists_by_customer(table(spark, sf_dir, "orders"))
-    dictionaries = two_columns_to_map(lists, "part", "keys")
-    return dictionaries.select(F.explode("entries").alias("part", "keys")).select(
-        F.col("part.o_custkey").alias("customer"), F.col("part.slice").alias("slice"), "keys"
-    )
-
-
-def lists_by_customer(orders: DataFrame) -> DataFrame:
-    grouped = collect_groups(orders, ["o_custkey"], "o_orderkey", "o_orderkey")
-    return grouped.select(
-        F.struct("o_custkey", "slice", "chunk").alias("part"),
+    # A dictionary of lists: group to list, then (group, slice, chunk) to that piece of it.
+    lists = collect_groups(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "o_orderkey")
+    pieces = lists.select(
+        F.struct("o_custkey", "slice", "chunk").alias("piece"),
         F.array_join("o_orderkey", ",").alias("keys"),
     )
+    entries = two_columns_to_map(pieces, "piece", "keys").select(
+        F.explode("entries").alias("piece", "keys")
+    )
+    return entries.select(
+        F.col("piece.o_custkey").alias("customer"),
+        F.col("piece.slice").alias("slice"),
+        F.col("piece.chunk").alias("chunk"),
+        "keys",
+    )

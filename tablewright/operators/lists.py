@@ -1,14 +1,15 @@
 """Columns to lists and dictionaries, in pieces of bounded size.
 
-A list or dictionary of a whole column, or of a hot group, fits neither a task nor the
-driver.  These operators return it as several rows: a group is cut into *slices* by a
-monotone function of the ordering column, a slice into *chunks* of at most ``chunk_size``
-entries.  Reading the rows of a group by (slice, chunk) gives the whole list in order.
-Slices are spread over the cluster by one shuffle; a group that fits gives a single row.
+A list of a small group is one row.  A list or dictionary of a whole column, or of a hot
+group, fits neither a task nor the driver, and is returned as several rows: such a group is
+cut into *slices* by a monotone function of the ordering column, and a slice into *chunks*
+of at most ``chunk_size`` entries.  Reading the rows of a group by (slice, chunk) gives the
+whole list in order.  One shuffle by group and slice spreads the work.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,10 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.chance import hash_number
+from tablewright.operators.lookups import join_unique
 from tablewright.operators.names import named
+from tablewright.sources.scratch import checkpointed
 
 CHUNK_SIZE = 10_000
-MAP_BUCKETS = 1024
+# More slices than chunks are needed, so that nearly every slice is a single chunk.
+SLICES_PER_CHUNK = 1.25
 
 
 def _chunks(df: DataFrame, by: Sequence[str], order: Sequence[Column], size: int) -> DataFrame:
@@ -30,13 +34,59 @@ def _chunks(df: DataFrame, by: Sequence[str], order: Sequence[Column], size: int
     )
 
 
-def integer_slices(df: DataFrame, order: str, span: int) -> Column:
-    """``order`` in steps of ``span``: a slice then holds at most ``span`` distinct values."""
-    if not isinstance(df.schema[order].dataType, T.IntegralType):
+def _as_number(df: DataFrame, order: str) -> Column | None:
+    """A double that never falls while ``order`` rises; None if there is no simple one."""
+    col, kind = named(order), df.schema[order].dataType
+    if isinstance(kind, T.NumericType):
+        return col.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        days = F.unix_date(col.cast("date")).cast("double")
+        return ((days * 24 + F.hour(col)) * 60 + F.minute(col)) * 60 + F.second(col)
+    return None
+
+
+def _slice_of(position: Column, low: Column, high: Column, rows: Column, size: int) -> Column:
+    """Cut the range of a group's positions into equal slices, enough for all its rows.
+
+    Rows without a position are sorted first, and belong in the first slice.
+    """
+    slices = F.ceil(rows * F.lit(SLICES_PER_CHUNK) / F.lit(size))
+    share = F.try_divide(position - low, high - low)
+    number = F.least(F.floor(share * slices), slices - 1)
+    return F.when((high > low) & position.isNotNull(), number).otherwise(0).cast("bigint")
+
+
+def with_slices(df: DataFrame, order: str, by: Sequence[str], size: int) -> DataFrame:
+    """Add ``slice``: 0 in groups of at most ``size`` rows, several values in larger ones.
+
+    Groups are counted first.  Only the large ones, few by comparison, are joined back.
+    """
+    number = _as_number(df, order)
+    position = F.lit(None).cast("double") if number is None else number
+    counted = df.groupBy(*(named(c) for c in by)).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        F.min(position).alias("__low"),
+        F.max(position).alias("__high"),
+    )
+    large = checkpointed(counted.where(F.col("__rows") > size))
+    if large.isEmpty():
+        return df.withColumn("slice", F.lit(0).cast("bigint"))
+    if number is None:
         raise ValueError(
-            f"{order!r} is not an integer column: pass slice_by, a monotone function of it"
+            f"a group has more than {size} rows and {order!r} is neither a number nor a time: "
+            "pass slice_by, a monotone function of it"
         )
-    return F.call_function("div", named(order).cast("bigint"), F.lit(span).cast("bigint"))
+    if by:
+        df = join_unique(df, large, by, "left", null_safe=True)
+        low, high, rows = F.col("__low"), F.col("__high"), F.col("__rows")
+    else:
+        whole = large.first()
+        low, high, rows = (F.lit(whole[c]) for c in ("__low", "__high", "__rows"))
+    return df.withColumn("slice", _slice_of(position, low, high, rows, size))
 
 
 def columns_to_lists(
@@ -50,14 +100,16 @@ def columns_to_lists(
     """Aligned lists of several columns, NULLs included, in the order of ``order``.
 
     ``order`` should be unique within a group: it is what makes the lists repeatable, and
-    what slices a group evenly.  ``slice_by`` must be non-decreasing in ``order``; for an
-    integer column it defaults to steps of ``chunk_size``.
+    what slices a large group evenly.  ``slice_by``, an integer that never falls while
+    ``order`` rises, slices all groups instead.
     """
     if slice_by is None:
-        slice_by = integer_slices(df, order, chunk_size)
+        df = with_slices(df, order, by, chunk_size)
+    else:
+        df = df.withColumn("slice", slice_by.cast("bigint"))
     sliced = df.select(
         *(named(c) for c in by),
-        slice_by.alias("slice"),
+        "slice",
         named(order).alias("__order"),
         F.struct(*(named(c) for c in columns)).alias("__values"),
     )
@@ -123,16 +175,18 @@ def two_columns_to_map(
     key: str,
     value: str,
     output: str = "entries",
-    buckets: int = MAP_BUCKETS,
     chunk_size: int = CHUNK_SIZE,
 ) -> DataFrame:
     """A dictionary from two columns, as rows of (slice, chunk, map).
 
     Keys are made unique first (the greatest value is kept); a NULL key is an error.  The
-    slice is a hash of the key, so one key is in one row only.
+    slice is a hash of the key, so one key is in one row only.  A dictionary of at most
+    about ``chunk_size`` keys is one row.
     """
+    keys = df.agg(F.approx_count_distinct(named(key)).alias("keys")).first()["keys"]
+    slices = math.ceil(keys * SLICES_PER_CHUNK / chunk_size) if keys > chunk_size else 1
     unique = df.groupBy(named(key).alias("__key")).agg(F.max(named(value)).alias("__value"))
-    sliced = unique.withColumn("slice", hash_number(0, [F.col("__key")]) % F.lit(buckets))
+    sliced = unique.withColumn("slice", hash_number(0, [F.col("__key")]) % F.lit(slices))
     return (
         _chunks(sliced, [], [F.col("__key")], chunk_size)
         .groupBy("slice", "chunk")
