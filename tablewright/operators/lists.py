@@ -24,11 +24,14 @@ from tablewright.sources.scratch import checkpointed
 CHUNK_SIZE = 10_000
 # More slices than chunks are needed, so that nearly every slice is a single chunk.
 SLICES_PER_CHUNK = 1.25
+# A slice is cut again if it holds more than this many chunks, so often at most.
+UNEVEN_CHUNKS = 4
+MAX_LEVELS = 8
 
 
-def _chunks(df: DataFrame, by: Sequence[str], order: Sequence[Column], size: int) -> DataFrame:
-    """Number the chunks of each slice: adds ``__position`` and ``chunk``."""
-    window = Window.partitionBy(*(named(c) for c in by), F.col("slice")).orderBy(*order)
+def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], size: int) -> DataFrame:
+    """Number the rows of each piece and the chunks they make: ``__position`` and ``chunk``."""
+    window = Window.partitionBy(*(named(c) for c in keys)).orderBy(*order)
     return df.withColumn("__position", F.row_number().over(window) - 1).withColumn(
         "chunk", F.floor(F.col("__position") / F.lit(size)).cast("int")
     )
@@ -49,44 +52,57 @@ def _as_number(df: DataFrame, order: str) -> Column | None:
     return None
 
 
-def _slice_of(position: Column, low: Column, high: Column, rows: Column, size: int) -> Column:
-    """Cut the range of a group's positions into equal slices, enough for all its rows.
+def cut_large_groups(
+    df: DataFrame, order: str, by: Sequence[str], size: int
+) -> tuple[DataFrame, list[str]]:
+    """Cut groups of more than ``size`` rows; returns the columns added, coarse to fine.
 
-    Rows without a position are sorted first, and belong in the first slice.
+    Pieces are counted, the large ones, few by comparison, are joined back, and their rows
+    are cut by where they lie between the piece's least and greatest position.  Positions
+    need not be spread evenly: a piece that stays too large is cut again between what are
+    now its own least and greatest, which leaves outliers behind.
     """
-    slices = F.ceil(rows * F.lit(SLICES_PER_CHUNK) / F.lit(size))
-    share = F.try_divide(position - low, high - low)
-    number = F.least(F.floor(share * slices), slices - 1)
-    return F.when((high > low) & position.isNotNull(), number).otherwise(0).cast("bigint")
-
-
-def with_slices(df: DataFrame, order: str, by: Sequence[str], size: int) -> DataFrame:
-    """Add ``slice``: 0 in groups of at most ``size`` rows, several values in larger ones.
-
-    Groups are counted first.  Only the large ones, few by comparison, are joined back.
-    """
-    number = _as_number(df, order)
-    position = F.lit(None).cast("double") if number is None else number
-    counted = df.groupBy(*(named(c) for c in by)).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.min(position).alias("__low"),
-        F.max(position).alias("__high"),
-    )
-    large = checkpointed(counted.where(F.col("__rows") > size))
-    if large.isEmpty():
-        return df.withColumn("slice", F.lit(0).cast("bigint"))
-    if number is None:
-        raise ValueError(
-            f"a group has more than {size} rows and {order!r} is neither a number nor a time: "
-            "pass slice_by, a monotone function of it"
+    position = _as_number(df, order)
+    levels: list[str] = []
+    while len(levels) < MAX_LEVELS:
+        keys = [*by, *levels]
+        measured = F.lit(None).cast("double") if position is None else position
+        counted = df.groupBy(*(named(c) for c in keys)).agg(
+            F.count(F.lit(1)).alias("__rows"),
+            F.min(measured).alias("__low"),
+            F.max(measured).alias("__high"),
         )
-    if by:
-        df = join_unique(df, large, by, "left", null_safe=True)
-        low, high, rows = F.col("__low"), F.col("__high"), F.col("__rows")
-    else:
-        whole = large.first()
-        low, high, rows = (F.lit(whole[c]) for c in ("__low", "__high", "__rows"))
-    return df.withColumn("slice", _slice_of(position, low, high, rows, size))
+        large = counted.where(F.col("__rows") > (size * UNEVEN_CHUNKS if levels else size))
+        if position is not None:
+            large = large.where(F.col("__high") > F.col("__low"))
+        large = checkpointed(large)
+        if large.isEmpty():
+            break
+        if position is None:
+            raise ValueError(
+                f"a group has more than {size} rows and {order!r} is neither a number nor a "
+                "time: pass slice_by, a monotone function of it"
+            )
+        if keys:
+            cut = join_unique(df, large, keys, "left", null_safe=True)
+        else:
+            whole = large.first()
+            cut = df.withColumns({c: F.lit(whole[c]) for c in ("__rows", "__low", "__high")})
+        level = f"__level_{len(levels)}"
+        df = cut.withColumn(level, _slice_of(position, size)).drop("__rows", "__low", "__high")
+        levels.append(level)
+    return df, levels
+
+
+def _slice_of(position: Column, size: int) -> Column:
+    """The equal part of its piece's range in which a row lies; 0 if it is not to be cut.
+
+    Rows without a position are sorted first, and belong in the first part.
+    """
+    rows, low, high = (F.col(c) for c in ("__rows", "__low", "__high"))
+    parts = F.ceil(rows * F.lit(SLICES_PER_CHUNK) / F.lit(size))
+    number = F.least(F.floor(F.try_divide(position - low, high - low) * parts), parts - 1)
+    return F.when((high > low) & position.isNotNull(), number).otherwise(0).cast("bigint")
 
 
 def columns_to_lists(
@@ -100,34 +116,59 @@ def columns_to_lists(
     """Aligned lists of several columns, NULLs included, in the order of ``order``.
 
     ``order`` should be unique within a group: it is what makes the lists repeatable, and
-    what slices a large group evenly.  ``slice_by``, an integer that never falls while
-    ``order`` rises, slices all groups instead.
+    what a large group is cut by.  ``slice_by``, an integer that never falls while ``order``
+    rises, cuts all groups instead.
     """
     if slice_by is None:
-        df = with_slices(df, order, by, chunk_size)
+        df, levels = cut_large_groups(df, order, by, chunk_size)
     else:
-        df = df.withColumn("slice", slice_by.cast("bigint"))
-    sliced = df.select(
+        df, levels = df.withColumn("__level_0", slice_by.cast("bigint")), ["__level_0"]
+    pieces = df.select(
         *(named(c) for c in by),
-        "slice",
+        *levels,
         named(order).alias("__order"),
         F.struct(*(named(c) for c in columns)).alias("__values"),
     )
+    keys = [*by, *levels]
     entries = F.sort_array(F.collect_list(F.struct("__position", "__values")))
     chunks = (
-        _chunks(sliced, by, [F.col("__order")], chunk_size)
-        .groupBy(*(named(c) for c in by), "slice", "chunk")
+        _chunks(pieces, keys, [F.col("__order")], chunk_size)
+        .groupBy(*(named(c) for c in keys), "chunk")
         .agg(entries.alias("__entries"))
     )
+    if len(levels) > 1:
+        offsets = checkpointed(_chunk_offsets(pieces, by, levels, chunk_size))
+        chunks = join_unique(chunks, offsets, keys, "left", null_safe=True).withColumn(
+            "chunk", (F.col("chunk") + F.coalesce("__offset", F.lit(0))).cast("int")
+        )
     return chunks.select(
         *(named(c) for c in by),
-        "slice",
+        (F.col(levels[0]) if levels else F.lit(0).cast("bigint")).alias("slice"),
         "chunk",
         # A field of an array of structs is the array of that field.
         *(F.col("__entries").getField("__values").getField(c).alias(c) for c in columns),
     )
 
 
+def _chunk_offsets(
+    pieces: DataFrame, by: Sequence[str], levels: Sequence[str], size: int
+) -> DataFrame:
+    """Where the chunks of a slice's later pieces start to be numbered."""
+    earlier = (
+        Window.partitionBy(*(named(c) for c in by), levels[0])
+        .orderBy(*levels[1:])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counted = pieces.groupBy(*(named(c) for c in by), *levels).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("__chunks")
+    )
+    return (
+        counted.withColumn("__offset", F.sum("__chunks").over(earlier))
+        .where(F.col("__offset") > 0)
+        .drop("__chunks")
+    )
+
+
 def column_to_list(
     df: DataFrame,
     column: str,
@@ -188,7 +229,7 @@ def two_columns_to_map(
     unique = df.groupBy(named(key).alias("__key")).agg(F.max(named(value)).alias("__value"))
     sliced = unique.withColumn("slice", hash_number(0, [F.col("__key")]) % F.lit(slices))
     return (
-        _chunks(sliced, [], [F.col("__key")], chunk_size)
+        _chunks(sliced, ["slice"], [F.col("__key")], chunk_size)
         .groupBy("slice", "chunk")
         .agg(F.map_from_entries(F.collect_list(F.struct("__key", "__value"))).alias(output))
     )
