@@ -27,6 +27,8 @@ SLICES_PER_CHUNK = 1.25
 # A slice is cut again if it holds more than this many chunks, so often at most.
 UNEVEN_CHUNKS = 4
 MAX_LEVELS = 8
+# Large pieces are brought to the driver if they are no more than this.
+LOCAL_PIECES = 1000
 
 
 def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], size: int) -> DataFrame:
@@ -75,19 +77,22 @@ def cut_large_groups(
         large = counted.where(F.col("__rows") > (size * UNEVEN_CHUNKS if levels else size))
         if position is not None:
             large = large.where(F.col("__high") > F.col("__low"))
-        large = checkpointed(large)
-        if large.isEmpty():
+        found = large.limit(LOCAL_PIECES + 1).collect()
+        if not found:
             break
         if position is None:
             raise ValueError(
                 f"a group has more than {size} rows and {order!r} is neither a number nor a "
                 "time: pass slice_by, a monotone function of it"
             )
-        if keys:
-            cut = join_unique(df, large, keys, "left", null_safe=True)
+        if not keys:
+            cut = df.withColumns({c: F.lit(found[0][c]) for c in ("__rows", "__low", "__high")})
+        elif len(found) <= LOCAL_PIECES:
+            local = df.sparkSession.createDataFrame(found, large.schema).coalesce(1)
+            size_of = sum(len(str(row)) for row in found)
+            cut = join_unique(df, local, keys, "left", null_safe=True, table_bytes=size_of)
         else:
-            whole = large.first()
-            cut = df.withColumns({c: F.lit(whole[c]) for c in ("__rows", "__low", "__high")})
+            cut = join_unique(df, checkpointed(large), keys, "left", null_safe=True)
         level = f"__level_{len(levels)}"
         df = cut.withColumn(level, _slice_of(position, size)).drop("__rows", "__low", "__high")
         levels.append(level)
