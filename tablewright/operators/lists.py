@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.chance import hash_number
-from tablewright.operators.lookups import join_unique
+from tablewright.operators.lookups import join_unique, local_table
 from tablewright.operators.names import named
 from tablewright.sources.scratch import checkpointed
 
@@ -88,7 +88,7 @@ def cut_large_groups(
         if not keys:
             cut = df.withColumns({c: F.lit(found[0][c]) for c in ("__rows", "__low", "__high")})
         elif len(found) <= LOCAL_PIECES:
-            local = df.sparkSession.createDataFrame(found, large.schema).coalesce(1)
+            local = local_table(df.sparkSession, found, large.schema)
             size_of = sum(len(str(row)) for row in found)
             cut = join_unique(df, local, keys, "left", null_safe=True, table_bytes=size_of)
         else:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,7 +132,23 @@ def hot_keys(
     # About 1 / share rows at most reach the driver.
     found = counts.where(F.col("__rows") > F.lit(share * fraction * total)).drop("__rows")
     rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    return local_table(df.sparkSession, rows, found.schema) if rows else None
+
+
+PLAIN_TYPES = (T.StringType, T.IntegralType, T.DoubleType, T.BooleanType)
+MAX_LITERAL_ROWS = 50
+
+
+def local_table(spark: SparkSession, rows: Sequence[Row], schema: T.StructType) -> DataFrame:
+    """Rows of the driver as a table; a few plain ones as literals, without Python workers."""
+    plain = all(isinstance(f.dataType, PLAIN_TYPES) for f in schema)
+    if not plain or len(rows) > MAX_LITERAL_ROWS:
+        return spark.createDataFrame(rows, schema).coalesce(1)
+    structs = (
+        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)))
+        for row in rows
+    )
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def unique_keys(mapping: DataFrame, key: str, value: str) -> DataFrame:

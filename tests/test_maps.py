@@ -112,6 +112,19 @@ def test_map_values_from_keeps_all_rows_of_hot_and_null_keys(spark, hot, bound):
     assert dict(bag(result)) == expected_lookup(bag(hot), dictionary)
 
 
+@pytest.mark.parametrize("most", [0, 50])
+def test_local_tables(spark, monkeypatch, most):
+    monkeypatch.setattr(K, "MAX_LITERAL_ROWS", most)
+    df = spark.createDataFrame(
+        [("it's `x`", 1, -(2**62), 0.1, True), (None, None, None, float("inf"), None)],
+        "`a.b` string, i int, l bigint, d double, t boolean",
+    )
+    local = K.local_table(spark, df.collect(), df.schema)
+    assert bag(local) == bag(df) and local.dtypes == df.dtypes
+    dates = spark.sql("SELECT date'2020-02-29' AS d, timestamp_ntz'2020-03-29 02:30:00' AS n")
+    assert bag(K.local_table(spark, dates.collect(), dates.schema)) == bag(dates)
+
+
 def test_hot_keys_are_found_and_few(hot):
     found = K.hot_keys(hot, ["k"], ["k"], share=0.1)
     assert sorted(values(found), key=str) == [7, None]
