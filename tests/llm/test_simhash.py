@@ -1,0 +1,93 @@
+"""Fingerprints and groups against a plain computation over all pairs."""
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tablewright.llm import queries, simhash
+from tablewright.llm.components import connected_components
+from tests.llm.conftest import SF_DIR
+
+
+def plain_fingerprint(text, size):
+    words = [w for w in text.encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).split()]
+    shingles = [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(keys, linked):
+    """Smallest key of each key's group; ``linked`` says whether two keys are linked."""
+    label = {k: k for k in keys}
+    changed = True
+    pairs = [(a, b) for a in keys for b in keys if a < b and linked(a, b)]
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def check(rows, texts, size=3):
+    prints = {k: plain_fingerprint(t or "", size) for k, t in texts.items()}
+    want = plain_groups(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == {
+        k: (f"{prints[k]:016x}", want[k]) for k in texts
+    }
+
+
+def test_odd_texts(odd_docs):
+    docs = odd_docs.where("doc_id is not null and doc_id != 3").distinct()
+    check(simhash.near_duplicates(docs).collect(), {r.doc_id: r.text for r in docs.collect()})
+    assert simhash.near_duplicates(odd_docs).count() == odd_docs.count()
+    assert simhash.near_duplicates(odd_docs.limit(0)).collect() == []
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in queries.table(spark, SF_DIR, "documents").collect()}
+    check(queries.op2_simhash_near_dedup(spark, SF_DIR).collect(), texts)
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("ring", [simhash.CONTRACT_RING, simhash.WORD_RING, simhash.Ring(32, 8, 3, True)])
+def test_links_equal_all_pairs(spark, ring, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    source = np.random.default_rng(5)
+    centres = source.integers(0, 2**63, 12, "uint64")
+    found = set()
+    for centre in centres:
+        for _ in range(25):
+            flips = source.choice(64, source.integers(0, 6), replace=False)
+            found.add(int(centre) ^ sum(1 << int(f) for f in flips))
+    prints = sorted(found)
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    nodes = spark.createDataFrame([([s],) for s in signed], "words array<long>")
+    parts = 64 // ring.bits
+    edges = simhash.links(nodes, ring, words=1, indexed=parts, most=3 if ring.bits == 64 else 64)
+
+    def linked(a, b):
+        full = (1 << ring.bits) - 1
+        return any(((a ^ b) >> k * ring.bits & full).bit_count() <= ring.threshold for k in range(parts))
+
+    pairs = [(int.from_bytes(r.a, "little"), int.from_bytes(r.b, "little")) for r in edges.collect()]
+    assert all(linked(a, b) for a, b in pairs)
+    joined = set(map(frozenset, pairs))
+    assert plain_groups(prints, lambda a, b: frozenset((a, b)) in joined) == plain_groups(prints, linked)
+
+
+def test_components_of_chains_and_hubs(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    hub = [(7, i) for i in range(1000, 1200)]
+    edges = spark.createDataFrame([*chain, *hub, (5, 5), (None, 3)], "a long, b long")
+    labels = {r.node: r.label for r in connected_components(edges).collect()}
+    assert labels == {i: 100 for i in range(100, 161)} | {7: 7} | {i: 7 for i in range(1000, 1200)}
+    assert connected_components(edges.where(F.lit(False))).collect() == []
+
+
+def test_sparks_hash_is_the_same(spark):
+    row = spark.sql("select xxhash64('a b c') as h").first()
+    assert row.h % 2**64 == xxhash.xxh64_intdigest(b"a b c", seed=42)
