@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.byte_bpe import encode_decode
 from tablewright.llm.packing import pack
+from tablewright.llm import secrets
+from tablewright.llm.secrets import STRONG, find_secrets
 from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.token_counts import count_tokens
 
@@ -19,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, kinds = F.col("findings"), F.array(*map(F.lit, STRONG))
+    base = F.filter(found, lambda x: F.array_contains(kinds, x["kind"]))
+
+    def listed(findings):
+        return F.array_join(F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", *map(number, STRONG), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(found).alias("spans")
+    )
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,10 +60,73 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-SQL: dict[str, str] = {}
+def _sql_pattern(pattern: str) -> str:
+    """A pattern as a SQL literal; its letters in either case are written out, as (?i) would fold others, too."""
+    folded, pattern = pattern.startswith("(?i)"), pattern.removeprefix("(?i)")
+    if folded:
+        letters = re.compile(r"\\x[0-9a-fA-F]{2}|\[[^]]*\]|[A-Za-z]")
+        pattern = letters.sub(lambda m: f"[{m[0].upper()}{m[0].lower()}]" if len(m[0]) == 1 else m[0], pattern)
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _scan_sql(scan: str, pattern: str) -> str:
+    literal = _sql_pattern(pattern)
+    return f"""SELECT rid, '{scan}' AS scan, regexp_extract_all(t, {literal}) AS found,
+      regexp_split_to_array(t, {literal}) AS gaps FROM docs"""
+
+
+ASSIGN_VALUE_SQL = f"length(regexp_extract(match, {_sql_pattern(secrets.SCANS['assign'])}, 2))"
+
+#: Plain pairs of a candidate and its complements, where the operator joins stretches.
+SECRETS_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+scans AS ({" UNION ALL ".join(_scan_sql(*scan) for scan in secrets.SCANS.items())}),
+numbered AS (
+  SELECT rid, scan, unnest(found) AS match, unnest(gaps[1:len(found)]) AS gap, unnest(range(len(found))) AS place
+  FROM scans WHERE len(found) > 0),
+placed AS (
+  SELECT rid, scan, match,
+    CAST(sum(length(gap) + length(match)) OVER (PARTITION BY rid, scan ORDER BY place) AS BIGINT) AS stop
+  FROM numbered),
+kinds AS (
+  SELECT rid, stop - length(match) AS start, stop, CASE
+      WHEN scan = 'assign' AND {ASSIGN_VALUE_SQL} >= {secrets.ASSIGN_LENGTH} THEN 'assign'
+      WHEN scan = 'assign' AND {ASSIGN_VALUE_SQL} >= {secrets.SHORT_LENGTH} THEN 'key'
+      WHEN scan = 'bare' AND length(match) <= {secrets.BARE_LENGTH} AND regexp_matches(match, '[0-9]')
+        AND regexp_matches(match, '[A-Z]') AND regexp_matches(match, '[a-z]') THEN 'key'
+      WHEN scan NOT IN ('assign', 'bare') THEN scan END AS kind
+  FROM placed),
+spans AS (
+  SELECT DISTINCT rid, start, stop, kind, list_position({list(secrets.ROLES)}, kind) AS place,
+    {list(secrets.ROLES.values())}[list_position({list(secrets.ROLES)}, kind)] AS part
+  FROM kinds WHERE kind IS NOT NULL),
+complements AS (
+  SELECT s.rid, s.start, s.stop, s.kind, s.place, s.part, count(DISTINCT o.part) AS n
+  FROM spans s JOIN spans o ON o.rid = s.rid AND abs(o.start - s.start) <= {secrets.SCOPE} AND CASE s.part
+      WHEN 'secret' THEN o.part = 'account' WHEN 'account' THEN o.part = 'secret' ELSE o.part <> 'endpoint' END
+  GROUP BY ALL),
+reported AS (
+  SELECT rid, start, stop, kind, place FROM spans WHERE kind IN ('assign', 'access', 'hex')
+  UNION
+  SELECT rid, start, stop, kind, place FROM complements
+  WHERE kind NOT IN ('assign', 'access', 'hex') AND n >= CASE part WHEN 'endpoint' THEN 2 ELSE 1 END),
+lists AS (
+  SELECT rid, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop) AS spans,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop)
+      FILTER (kind IN ('assign', 'access', 'hex')) AS base,
+    count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex
+  FROM reported GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN lists USING (rid)
+"""
+
+SQL: dict[str, str] = {"op1_secret_scans": SECRETS_SQL}
