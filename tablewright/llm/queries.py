@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.byte_bpe import encode_decode
+from tablewright.llm.licenses import scan_licenses
 from tablewright.llm.packing import pack
 from tablewright.llm import secrets
 from tablewright.llm.secrets import STRONG, find_secrets
@@ -41,6 +42,26 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score is 1 where a phrase stands, else the best notice's share of letters that are not edited."""
+    exact, fuzzy = F.col("exact"), F.col("fuzzy")
+
+    def labels(*found):
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*(x["label"] for x in found)))), ",")
+
+    similar = F.array_max(F.transform(fuzzy, lambda x: 1 - x["edits"] / x["letters"]))
+    return scan_licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size(exact).cast("long").alias("n_base"),
+        F.array_min(exact["first"]).alias("first_word"),
+        F.array_max(exact["first"]).alias("last_word"),
+        labels(exact).alias("base_labels"),
+        labels(exact, fuzzy).alias("labels"),
+        F.when(F.size(exact) > 0, 1.0).otherwise(F.coalesce(similar, F.lit(0.0))).alias("score"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -62,6 +83,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_license_scans": op5_license_scans,
     "op6_token_counts": op6_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
