@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.byte_bpe import encode_decode
+from tablewright.llm.common import id_remainder
 from tablewright.llm.licenses import scan_licenses
 from tablewright.llm.packing import pack
 from tablewright.llm import secrets
 from tablewright.llm.secrets import STRONG, find_secrets
 from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.token_counts import count_tokens
+from tablewright.llm.toxicity import THRESHOLD, score_toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -42,6 +44,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score is 1 where a phrase stands, else the best notice's share of letters that are not edited."""
     exact, fuzzy = F.col("exact"), F.col("fuzzy")
@@ -83,6 +95,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_license_scans": op5_license_scans,
     "op6_token_counts": op6_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
