@@ -13,6 +13,7 @@ from tablewright.llm.common import id_remainder
 from tablewright.llm.licenses import scan_licenses
 from tablewright.llm.packing import pack
 from tablewright.llm import secrets
+from tablewright.llm.projections import near_duplicate_vectors
 from tablewright.llm.secrets import STRONG, find_secrets
 from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.token_counts import count_tokens
@@ -79,6 +80,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_license_scans": op5_license_scans,
     "op6_token_counts": op6_token_counts,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
