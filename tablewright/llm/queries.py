@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.byte_bpe import encode_decode
 from tablewright.llm.common import id_remainder
 from tablewright.llm.licenses import scan_licenses
+from tablewright.llm.mtree import top_k
 from tablewright.llm.packing import pack
 from tablewright.llm import secrets
 from tablewright.llm.projections import near_duplicate_vectors
@@ -80,6 +81,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_license_scans": op5_license_scans,
     "op6_token_counts": op6_token_counts,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -170,4 +177,19 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN lists USING (rid)
 """
 
-SQL: dict[str, str] = {"op1_secret_scans": SECRETS_SQL}
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {"op1_secret_scans": SECRETS_SQL, "op7_exact_top_k": TOP_K_SQL}
