@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.byte_bpe import encode_decode
 from tablewright.llm.common import id_remainder
 from tablewright.llm.licenses import scan_licenses
+from tablewright.llm.mixing_lm import score_texts
 from tablewright.llm.mtree import top_k
 from tablewright.llm.packing import pack
 from tablewright.llm import secrets
@@ -46,6 +47,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(
@@ -106,6 +111,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_license_scans": op5_license_scans,
     "op6_token_counts": op6_token_counts,
