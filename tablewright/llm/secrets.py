@@ -131,6 +131,34 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def redact_secrets(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]") -> DataFrame:
+    """The rows of ``docs``, with all their columns, with every finding in a text replaced.
+
+    Findings that overlap are replaced together. A text without findings stays as it is, NULL included.
+    """
+    digest = F.sha2(F.col(text_col).cast("binary"), 256)
+    texts = docs.select(digest.alias("_digest"), F.col(text_col))
+    found = find_secrets(texts, "_digest", text_col).where(F.size("findings") > 0)
+    # What is found depends on the text alone: copies share it.
+    found = written(found.groupBy("_digest").agg(F.any_value("findings").alias("_findings")), "findings")
+    text = F.col(text_col)
+
+    def step(state: Column, finding: Column) -> Column:
+        apart = finding["start"] >= state["at"]
+        between = F.substring(text, state["at"] + 1, finding["start"] - state["at"])
+        return F.struct(
+            F.greatest(state["at"], finding["end"]).alias("at"),
+            F.when(apart, F.concat(state["out"], between, F.lit(placeholder))).otherwise(state["out"]).alias("out"),
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    redacted = F.aggregate("_findings", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    joined = docs.withColumn("_digest", digest).join(found, "_digest", "left")
+    return joined.withColumn(text_col, F.when(F.col("_findings").isNull(), text).otherwise(redacted)).drop(
+        "_digest", "_findings"
+    )
+
+
 def _confirmed(spans: DataFrame, scope: int) -> DataFrame:
     """Weak candidates whose complement stands within ``scope`` characters.
 

@@ -17,13 +17,16 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import id_type, rows, utf8, written
 from tablewright.llm.components import connected_components
 
 SEED = 42
+#: Near-duplicates by similarity: words of the fingerprint, 16-bit parts that are looked up, and bits that may differ
+#: before the shingles themselves are compared (of 256 bits, 39 differ on average at a similarity of 0.8).
+SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS = 4, 10, 50
 #: Words compared at once in one group; a key with more is dealt out in pairs of blocks of about this size.
 BLOCK = 2048
 
@@ -250,6 +253,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def similarity(a: bytes, b: bytes, shingle: int) -> float:
+    """Share of the distinct word shingles of two texts that they have in common."""
+
+    def shingles(text: bytes) -> set:
+        words = text.lower().split()
+        return set(zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) >= shingle else {tuple(words)}
+
+    left, right = shingles(a), shingles(b)
+    return len(left & right) / len(left | right)
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8
+) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each group of near-duplicates: that with the smallest id.
+
+    Rows are linked whose word shingles have a similarity of ``least`` or more (candidates: fingerprints of 256 bits
+    of which a 16-bit part differs in one bit at most) or whose fingerprints are the same; groups are what links
+    reach. NULL and empty texts, and those of white space alone, are copies of one another. Of rows with the same id
+    and text any one stays; a NULL id counts as the largest. No rows give no rows.
+    """
+    text = utf8(F.col(text_col))
+    digest = F.sha2(text, 256)
+    keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest")).alias("_key"), F.col(text_col).alias("_text"))
+    prints = fingerprints(keyed, "_key", "_text", shingle, SIMILAR_WORDS)
+    nodes = written(prints.groupBy("words", "node").agg(F.min("_id").alias("_first")), "nodes")
+    candidates = written(links(nodes, WORD_RING, SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS), "candidates")
+    ends = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
+    involved = nodes.join(ends, "node").select("node", F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
+    own = docs.select(F.col(id_col).alias("_own"), text.alias("text"), digest.alias("_own_digest"))
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
+    texts = own.join(involved, same).select("node", "text").groupBy("node").agg(F.any_value("text").alias("text"))
+    texts = written(texts, "candidate-texts")
+    pairs = candidates.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True)
+            yield batch.select(["a", "b"]).filter(pa.array([similarity(x, y, shingle) >= least for x, y in pairs], pa.bool_()))
+
+    edges = pairs.select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary")
+    groups = _grouped(nodes, edges).select("component_id").distinct()
+    kept = groups.select(F.col("component_id.id").alias("_id"), F.col("component_id.digest").alias("_digest"))
+    marked = docs.withColumn("_own_digest", digest)
+    same = marked[id_col].eqNullSafe(kept["_id"]) & (F.col("_own_digest") == kept["_digest"])
+    copies = Window.partitionBy(id_col, "_own_digest").orderBy(F.lit(0))
+    return (
+        marked.join(kept, same, "left_semi")
+        .withColumn("_copy", F.row_number().over(copies))
+        .where("_copy = 1")
+        .drop("_copy", "_own_digest")
+    )
+
+
 def _grouped(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``node`` and ``component_id`` of every node, written."""
     labelled = nodes.join(connected_components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
