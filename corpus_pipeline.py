@@ -3,9 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewright.llm.common import written
 from tablewright.llm.packing import pack
+from tablewright.llm.secrets import redact_secrets
+from tablewright.llm.simhash import one_of_each_group
+from tablewright.llm.toxicity import clean_documents
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the Kneser-Ney models judge toxic go."""
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, a similarity of 0.8 or more."""
+    return one_of_each_group(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets and the parts linked to them are replaced in the texts; no document goes."""
+    return redact_secrets(docs).withColumn(
+        "n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    ).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +34,12 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [("best-fit packing", packed)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("simhash near-dedup", without_near_duplicates),
+    ("secret scans", without_secrets),
+    ("best-fit packing", packed),
+]
 
 #: A fitted model, sketches and a tokenizer take part: not expressible in SQL.
 ORACLE_SQL = None
