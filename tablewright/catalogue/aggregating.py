@@ -93,7 +93,8 @@ def distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def pivot_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.pivot_count(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderstatus")
+    orders = table(spark, sf_dir, "orders")
+    return G.pivot_count(orders, ["o_custkey"], "o_orderstatus", max_values=10)
 
 
 @query(
@@ -113,29 +114,41 @@ def pivot_count_transposed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# A group of more than LIST_CHUNK rows is cut into equal slices of its range of keys.
-SLICED_SQL = """
-    SELECT *, (row_number() OVER (PARTITION BY grp, slice ORDER BY o_orderkey) - 1) // 1000 AS chunk
-    FROM (SELECT *, CASE WHEN n <= 1000 OR high = low THEN 0
-                         ELSE least(floor((o_orderkey - low) / (high - low) * m), m - 1) END::BIGINT
-                    AS slice
-          FROM (SELECT *, ceil(n * 1.25::DOUBLE / 1000) AS m
-                FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n,
-                             min(o_orderkey) OVER (PARTITION BY grp)::DOUBLE AS low,
-                             max(o_orderkey) OVER (PARTITION BY grp)::DOUBLE AS high
-                      FROM (SELECT *, {group} AS grp FROM orders))))
+@query(
+    "agg_pivot_count_null",
     """
+    SELECT o_orderpriority,
+           nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS F,
+           nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS O,
+           nullif(count(*) FILTER (o_orderstatus = 'P'), 0) AS "null"
+    FROM orders GROUP BY o_orderpriority
+    """,
+)
+def pivot_count_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P"))
+    )
+    return G.pivot_count(orders, ["o_orderpriority"], "o_orderstatus", max_values=10)
+
+
+@query(
+    "agg_pivot_count_long",
+    "SELECT l_suppkey, l_partkey AS part, count(*) AS lines FROM lineitem GROUP BY ALL",
+)
+def pivot_count_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # As many values as there are parts: no bound on them, as they are rows.
+    lines = table(spark, sf_dir, "lineitem")
+    return G.pivot_count_long(lines, ["l_suppkey"], "l_partkey", "part", "lines")
 
 
 @query(
     "agg_collect_list",
-    f"""
-    SELECT grp AS o_orderpriority, slice, chunk::INTEGER AS chunk,
-           coalesce(string_agg(date::VARCHAR, ',' ORDER BY o_orderkey), '') AS dates,
-           max(date) AS max_date
+    """
+    SELECT o_orderpriority, date, max(date) OVER (PARTITION BY o_orderpriority) AS max_date,
+           row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS position
     FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
-          FROM ({SLICED_SQL.format(group="o_orderpriority")}))
-    GROUP BY grp, slice, chunk
+          FROM orders)
+    WHERE date IS NOT NULL
     """,
 )
 def collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,59 +157,85 @@ def collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority",
         F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
     )
-    groups = L.collect_groups(dated, ["o_orderpriority"], "date", "o_orderkey", chunk_size=LIST_CHUNK)
+    groups = L.collect_groups(dated, ["o_orderpriority"], "date", "o_orderkey", LIST_CHUNK)
     return groups.select(
-        "o_orderpriority", "slice", "chunk", F.array_join("date", ",").alias("dates"), "max_date"
-    )
+        "o_orderpriority", "start", "max_date", F.posexplode("date").alias("at", "date")
+    ).select("o_orderpriority", "date", "max_date", (F.col("start") + F.col("at")).alias("position"))
 
 
 @query(
     "agg_column_to_list",
-    f"""
-    SELECT slice, chunk::INTEGER AS chunk, count(*)::INTEGER AS size,
-           string_agg(o_orderpriority, ',' ORDER BY o_orderkey) AS priorities
-    FROM ({SLICED_SQL.format(group="1")}) GROUP BY slice, chunk
+    """
+    SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, o_orderpriority AS priority
+    FROM orders
     """,
 )
 def column_to_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = L.column_to_list(
-        table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderkey", chunk_size=LIST_CHUNK
-    )
-    return lists.select(
-        "slice",
-        "chunk",
-        F.size("o_orderpriority").alias("size"),
-        F.array_join("o_orderpriority", ",").alias("priorities"),
+    orders = table(spark, sf_dir, "orders")
+    lists = L.column_to_list(orders, "o_orderpriority", "o_orderkey", chunk_size=LIST_CHUNK)
+    return lists.select("start", F.posexplode("o_orderpriority").alias("at", "priority")).select(
+        (F.col("start") + F.col("at")).alias("position"), "priority"
     )
 
 
 @query(
     "agg_two_columns_to_lists",
     """
-    SELECT o_orderstatus, slice, chunk::INTEGER AS chunk,
-           string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS keys,
-           string_agg(o_custkey::VARCHAR, ',' ORDER BY o_orderkey) AS customers
-    FROM (SELECT *, (row_number() OVER (PARTITION BY o_orderstatus, slice ORDER BY o_orderkey) - 1)
-                    // 1000 AS chunk
-          FROM (SELECT *, o_orderkey // 5000 AS slice FROM orders))
-    GROUP BY o_orderstatus, slice, chunk
+    SELECT o_orderstatus, o_orderkey AS key, o_custkey AS customer,
+           row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS position
+    FROM orders
     """,
 )
 def two_columns_to_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Slices of the caller's: at most 5,000 rows each, as keys are unique, and several chunks.
     lists = L.two_columns_to_lists(
         table(spark, sf_dir, "orders"),
         "o_orderkey",
         "o_custkey",
         "o_orderkey",
         ["o_orderstatus"],
-        slice_by=F.floor(F.col("o_orderkey") / 5000),
         chunk_size=LIST_CHUNK,
     )
-    return lists.select(
+    pairs = F.posexplode(F.arrays_zip("o_orderkey", "o_custkey")).alias("at", "pair")
+    return lists.select("o_orderstatus", "start", pairs).select(
         "o_orderstatus",
-        "slice",
-        "chunk",
-        F.array_join("o_orderkey", ",").alias("keys"),
-        F.array_join("o_custkey", ",").alias("customers"),
+        F.col("pair.o_orderkey").alias("key"),
+        F.col("pair.o_custkey").alias("customer"),
+        (F.col("start") + F.col("at")).alias("position"),
+    )
+
+
+@query(
+    "agg_list_by_text",
+    """
+    SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5(text), doc_id) - 1 AS position
+    FROM documents
+    """,
+)
+def list_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Ordered by a text, made unique by the id.
+    keyed = table(spark, sf_dir, "documents").select(
+        "lang", "doc_id", F.concat_ws("-", F.md5("text"), F.lpad(F.col("doc_id").cast("string"), 20, "0")).alias("k")
+    )
+    lists = L.column_to_list(keyed, "doc_id", "k", ["lang"], 100)
+    return lists.select("lang", "start", F.posexplode("doc_id").alias("at", "doc_id")).select(
+        "lang", "doc_id", (F.col("start") + F.col("at")).alias("position")
     )
+
+
+@query(
+    "agg_list_tied_order",
+    """
+    SELECT l_returnflag, l_quantity,
+           row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) - 1 AS position
+    FROM lineitem
+    """,
+)
+def list_tied_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Fifty different quantities order all lines: the list of them is the same however ties fall.
+    lines = table(spark, sf_dir, "lineitem")
+    lists = L.columns_to_lists(
+        lines, ["l_quantity", "l_orderkey", "l_linenumber"], "l_quantity", ["l_returnflag"], LIST_CHUNK
+    )
+    return lists.select(
+        "l_returnflag", "start", F.posexplode("l_quantity").alias("at", "l_quantity")
+    ).select("l_returnflag", "l_quantity", (F.col("start") + F.col("at")).alias("position"))

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tablewright.catalogue.registry import query, table
 from tablewright.functions import arrays as A
+from tablewright.functions.arithmetic import cast_array
 from tablewright.functions.text import split_fields
 from tablewright.operators.aggregates import group_count
-from tablewright.operators.words import words_of
+from tablewright.operators.words import explode_array, words_of
 
 SEED = 42
-ANIMALS = ("cat", "dog", "mouse")
+STATUSES = ("F", "O", "P")
 # Topics of keywords, and the SQL lists of the same words.
 TOPICS = (("the", "and", "of"), ("is", "are"), ("la", "le", "un", "que"))
 
@@ -74,17 +75,17 @@ def choice_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     "array_choice_literals",
     """
     SELECT o_orderkey,
-           ['cat', 'dog', 'mouse']
+           ['F', 'O', 'P']
            [CAST(('0x' || substr(md5('42-' || coalesce(nullif(o_custkey, 7)::VARCHAR, '')), 1, 8))
-            AS BIGINT) % 3 + 1] AS animal
+            AS BIGINT) % 3 + 1] AS status
     FROM orders
     """,
 )
 def choice_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A row whose key is NULL gets an animal, too.
+    # A row whose key is NULL gets one, too.
     key = F.nullif(F.col("o_custkey"), F.lit(7))
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", A.choice_of_values(ANIMALS, key, seed=SEED).alias("animal")
+        "o_orderkey", A.choice_of_values(STATUSES, key, seed=SEED).alias("status")
     )
 
 
@@ -126,7 +127,7 @@ def forall(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "embeddings")
-        .select("label", F.explode("embedding").alias("x"))
+        .transform(lambda df: explode_array(df.select("label", "embedding"), "embedding", "x"))
         .groupBy("label")
         .agg(F.count(F.lit(1)).alias("elements"), F.max("x").cast("double").alias("greatest"))
     )
@@ -162,3 +163,17 @@ def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatmap_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_count(words_of(table(spark, sf_dir, "documents"), "text"), ["word"], "n")
+
+
+@query(
+    "array_cast_numbers",
+    """
+    SELECT vec_id, list_sum(list_transform(embedding, lambda x: trunc(x * 100::FLOAT)::BIGINT))::BIGINT AS total
+    FROM embeddings
+    """,
+)
+def cast_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Floats to whole numbers, cut off towards zero.
+    hundredfold = F.transform("embedding", lambda x: x * F.lit(100).cast("float"))
+    total = F.aggregate(cast_array(hundredfold, "int"), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return table(spark, sf_dir, "embeddings").select("vec_id", total.alias("total"))

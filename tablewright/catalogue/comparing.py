@@ -118,6 +118,48 @@ def rows_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "diff_columns_beyond_doubles",
+    "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P'",
+)
+def columns_beyond_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Whole numbers one apart that are the same double.
+    large = F.lit(9007199254740992).cast("bigint") + 2 * F.col("o_orderkey")
+    both = table(spark, sf_dir, "orders").select(
+        "o_orderkey", large.alias("a"), (large + F.when(in_progress(), 1).otherwise(0)).alias("b")
+    )
+    return V.column_mismatches_approx(both, "a", "b", 0.0).select("o_orderkey")
+
+
+@query(
+    "diff_rows_repeated_keys",
+    """
+    SELECT o_custkey, o_orderkey, 'repeated_key' AS kind, 1::BIGINT AS left_rows, 0::BIGINT AS right_rows
+    FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+    WHERE o_orderstatus = 'P' AND n > 1
+    UNION ALL
+    SELECT o_custkey, o_orderkey, 'left_only', 1, 0
+    FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+    WHERE o_orderstatus = 'P' AND n = 1
+    """,
+)
+def rows_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Customers have several orders; the right side lacks those in progress.
+    left = table(spark, sf_dir, "orders")
+    return V.dataframe_diff_approx(left, left.where(~in_progress()), ["o_custkey"], 0.5).select(
+        "o_custkey", F.col("left.o_orderkey").alias("o_orderkey"), "kind", "left_rows", "right_rows"
+    )
+
+
+@query(
+    "diff_rows_repeated_keys_equal",
+    "SELECT o_custkey, '' AS kind FROM orders WHERE false",
+)
+def rows_repeated_keys_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = table(spark, sf_dir, "orders")
+    return V.dataframe_diff_approx(left, left, ["o_custkey"], 0.0).select("o_custkey", "kind")
+
+
 @query(
     "reconcile_summary",
     """

@@ -75,7 +75,7 @@ def columns_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def columns_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maps.map_to_columns(properties(spark, sf_dir), "props")
+    return maps.map_to_columns(properties(spark, sf_dir), "props", max_keys=20)
 
 
 @query(
@@ -170,27 +170,78 @@ def from_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionaries.select(F.explode("entries").alias("customer", "price"))
 
 
+@query(
+    "map_to_rows",
+    """
+    SELECT event_id, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events
+    WHERE json_exists(props, '$.k')
+    UNION ALL SELECT event_id, event_type, 'yes' FROM events
+    """,
+)
+def to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maps.map_to_rows(properties(spark, sf_dir), "props")
+
+
+def squares(entries: int) -> dict[int, int]:
+    return {n: n * n for n in range(entries)}
+
+
+SQUARES_SQL = """
+    SELECT l_orderkey, l_linenumber,
+           CASE WHEN l_partkey % 100 < {entries} THEN (l_partkey % 100) * (l_partkey % 100) END AS square
+    FROM lineitem
+    """
+
+
+def squared(spark: SparkSession, sf_dir: str, entries: int) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") % 100).alias("rest")
+    )
+    return lookups.map_values(lines, "rest", squares(entries), "square").drop("rest")
+
+
+@query("map_values_64_entries", SQUARES_SQL.format(entries=64))
+def values_64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return squared(spark, sf_dir, 64)
+
+
+@query("map_values_65_entries", SQUARES_SQL.format(entries=65))
+def values_65(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return squared(spark, sf_dir, 65)
+
+
+@query(
+    "map_lookup_hot_keys",
+    """
+    SELECT l_orderkey, l_linenumber, l_linenumber * 10 AS tens FROM lineitem
+    """,
+)
+def lookup_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every key has a seventh of the rows or so; with a bound of nothing all but these would be shuffled.
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    numbers = lines.select("l_linenumber", (F.col("l_linenumber") * 10).alias("tens")).distinct()
+    return lookups.map_values_from(
+        lines, "l_linenumber", numbers, "l_linenumber", "tens", "tens", max_broadcast_bytes=0
+    )
+
+
 @query(
     "map_from_grouped_lists",
     """
-    SELECT o_custkey AS customer, CAST(0 AS BIGINT) AS slice, CAST(0 AS INTEGER) AS chunk,
-           string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS keys
-    FROM orders GROUP BY o_custkey
+    SELECT o_custkey AS customer, o_orderkey AS key,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position
+    FROM orders
     """,
 )
 def from_grouped_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A dictionary of lists: group to list, then (group, slice, chunk) to that piece of it.
+    # A dictionary of lists: group to list, then (group, start) to that piece of it.
     lists = collect_groups(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "o_orderkey")
-    pieces = lists.select(
-        F.struct("o_custkey", "slice", "chunk").alias("piece"),
-        F.array_join("o_orderkey", ",").alias("keys"),
-    )
-    entries = two_columns_to_map(pieces, "piece", "keys").select(
+    pieces = lists.select(F.struct("o_custkey", "start").alias("piece"), F.col("o_orderkey").alias("keys"))
+    entries = two_columns_to_map(pieces, "piece", "keys", on_repeated="fail").select(
         F.explode("entries").alias("piece", "keys")
     )
-    return entries.select(
+    return entries.select("piece", F.posexplode("keys").alias("at", "key")).select(
         F.col("piece.o_custkey").alias("customer"),
-        F.col("piece.slice").alias("slice"),
-        F.col("piece.chunk").alias("chunk"),
-        "keys",
+        "key",
+        (F.col("piece.start") + F.col("at")).alias("position"),
     )

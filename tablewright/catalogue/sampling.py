@@ -43,6 +43,34 @@ def rank_top_k_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.rank_top_k(lines, ["l_returnflag"], "l_quantity", 3, descending=False)
 
 
+@query(
+    "win_rank_top_k_global",
+    """
+    SELECT l_orderkey, l_linenumber, l_quantity, rank::INTEGER AS rank
+    FROM (SELECT *, rank() OVER (ORDER BY l_quantity DESC) AS rank FROM lineitem)
+    WHERE rank <= 5
+    """,
+)
+def rank_top_k_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Without groups; rank 1 is shared by a fiftieth of all rows.
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return W.rank_top_k(lines, [], "l_quantity", 5)
+
+
+@query(
+    "sample_top_k_large",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+    ORDER BY md5('7-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey),
+             l_orderkey, l_linenumber, l_partkey
+    LIMIT 15000
+    """,
+)
+def sample_top_k_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return W.sample_top_k(lines, 15_000, ["l_orderkey", "l_linenumber", "l_partkey"], 7)
+
+
 @query(
     "sample_top_k_seeded",
     """

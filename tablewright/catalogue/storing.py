@@ -149,7 +149,7 @@ def partition_conjunction(spark: SparkSession, sf_dir: str) -> DataFrame:
         R.extract(spark, partitioned_orders(spark, sf_dir)),
         "partitioned_orders",
         """
-        SELECT o_orderkey, o_custkey, o_orderpriority FROM partitioned_orders
+        SELECT o_orderkey, o_custkey, o_orderpriority FROM {partitioned_orders}
         WHERE o_orderstatus = 'F' AND o_orderpriority >= '3'
         """,
     )
@@ -183,5 +183,31 @@ def view_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.sql_over(
         table(spark, sf_dir, "lineitem"),
         "lineitem_view",
-        "SELECT * FROM lineitem_view WHERE l_extendedprice >= 60000",
+        "SELECT * FROM {lineitem_view} WHERE l_extendedprice >= 60000",
     )
+
+
+@query(
+    "sink_csv_bad_rows",
+    """
+    SELECT o_orderkey || ',' || CASE WHEN o_orderstatus = 'P' THEN 'many' ELSE o_custkey::VARCHAR END AS value
+    FROM orders WHERE o_orderstatus = 'P'
+    """,
+)
+def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Orders in progress have a customer that is no number: their rows come back as text.
+    path = scratch_path(spark, "orders-csv")
+    customer = F.when(F.col("o_orderstatus") == "P", "many").otherwise(F.col("o_custkey").cast("string"))
+    orders = table(spark, sf_dir, "orders")
+    X.load_csv(orders.select("o_orderkey", customer.alias("o_custkey")), path)
+    _, bad = R.read_csv(spark, path, "o_orderkey bigint, o_custkey bigint", on_bad="split")
+    return bad
+
+
+@query(
+    "src_strict_delimited_fail",
+    "SELECT c_custkey::VARCHAR AS custkey, c_name AS name FROM customer",
+)
+def strict_delimited_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "customer").select(F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    return R.read_strict_delimited(lines, ["custkey", "name"], on_bad="fail")

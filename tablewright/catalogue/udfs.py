@@ -30,5 +30,5 @@ def title_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over(
         table(spark, sf_dir, "part"),
         "parts_to_title",
-        "SELECT p_partkey, title_text(p_name, true) AS title FROM parts_to_title",
+        "SELECT p_partkey, title_text(p_name, true) AS title FROM {parts_to_title}",
     )

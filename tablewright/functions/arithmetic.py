@@ -29,11 +29,14 @@ def divide_by_zero(col: Column) -> Column:
 
 
 def cast_array(col: Column, element_type: str = "int") -> Column:
-    """Cast an array of strings; a bad element becomes NULL, a NULL array stays NULL."""
+    """Cast an array; an element that cannot be cast becomes NULL, a NULL array stays NULL."""
     if element_type in INTEGER_TYPES:
         # A cast that fails is many times as slow as one that succeeds, so text that cannot
-        # be a whole number does not get that far.
-        col = F.transform(col, lambda x: F.when(x.rlike(WHOLE_NUMBER), x))
+        # be a whole number does not get that far.  Elements of other types are cast as they are.
+        col = F.transform(
+            col,
+            lambda x: F.when((F.typeof(x) != "string") | x.cast("string").rlike(WHOLE_NUMBER), x),
+        )
     return col.try_cast(f"array<{element_type}>")
 
 

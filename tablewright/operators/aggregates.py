@@ -12,9 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.names import named
-
-MAX_PIVOT_VALUES = 1000
+from tablewright.operators.names import named, require_unique
 
 
 def column_mean(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
@@ -63,11 +61,25 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def bounded_values(distinct: DataFrame, column: str, limit: int) -> list[Any]:
-    """The non-NULL values of a column of distinct values, sorted, at most ``limit``."""
-    rows = distinct.where(named(column).isNotNull()).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {column!r}")
-    return sorted(row[column] for row in rows)
+    """The values of a column of distinct values, sorted, NULL last; more than ``limit`` is an error."""
+    values = [row[column] for row in distinct.limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"more than {limit} distinct values in {column!r}: use the long form")
+    return [*sorted(v for v in values if v is not None), *(v for v in values if v is None)]
+
+
+def text_of(value: Any) -> str:
+    """A value as Spark writes it in a column name."""
+    return "null" if value is None else str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def pivot_count_long(
+    df: DataFrame, rows: Sequence[str], column: str, value: str = "value", output: str = "count"
+) -> DataFrame:
+    """Number of rows per group and value, one row each: any number of values, NULL included."""
+    return df.groupBy(*(named(c) for c in rows), named(column).alias(value)).agg(
+        F.count(F.lit(1)).alias(output)
+    )
 
 
 def pivot_count(
@@ -75,17 +87,25 @@ def pivot_count(
     rows: Sequence[str],
     column: str,
     values: Sequence[Any] | None = None,
-    max_values: int = MAX_PIVOT_VALUES,
+    max_values: int | None = None,
 ) -> DataFrame:
     """Number of rows per group and value, one output column per value.
 
-    A cell without rows is NULL.  One conditional count per value needs a single shuffle,
-    where ``GroupedData.pivot`` aggregates twice.  Without ``values`` they are found by a
-    job of its own.
+    The values are named, or found by a job of their own, of which the caller says how many
+    columns there may be at most.  A cell without rows is NULL; NULL is a value like others.
+    Counts are made first and spread after it, so the pass over the data does not depend on
+    the number of values.
     """
     if values is None:
+        if max_values is None:
+            raise ValueError("name the values, say how many there may be, or use pivot_count_long")
         values = bounded_values(distinct_values(df, column), column, max_values)
+    names = [text_of(v) for v in values]
+    require_unique(df.sparkSession, [*rows, *names])
+    counted = pivot_count_long(df, rows, column, "__value", "__count")
+    kind = df.schema[column].dataType
     cells = (
-        F.nullif(F.count_if(named(column) == F.lit(v)), F.lit(0)).alias(str(v)) for v in values
+        F.max(F.when(F.col("__value").eqNullSafe(F.lit(v).cast(kind)), F.col("__count"))).alias(n)
+        for v, n in zip(values, names)
     )
-    return df.groupBy(*(named(c) for c in rows)).agg(*cells)
+    return counted.groupBy(*(named(c) for c in rows)).agg(*cells)

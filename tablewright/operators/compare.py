@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import ROUND_FLOOR, Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.operators.lookups import join_unique
 from tablewright.operators.names import named
+from tablewright.sources.scratch import set_aside
 
 
 class SchemaMismatch(ValueError):
@@ -21,10 +24,38 @@ def equal(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def about_equal(a: Column, b: Column, precision: float) -> Column:
-    """Numbers at most ``precision`` apart; NULL only equals NULL, NaN only NaN."""
-    apart = F.abs(a.cast("double") - b.cast("double"))
-    return equal(a, b) | F.coalesce(apart <= F.lit(precision), F.lit(False))
+EXACT_TYPES = (T.IntegralType, T.DecimalType)
+
+
+def _scale(kind: T.DataType) -> int:
+    return kind.scale if isinstance(kind, T.DecimalType) else 0
+
+
+def about_equal(
+    a: Column,
+    b: Column,
+    precision: float,
+    kinds: tuple[T.DataType, T.DataType] | None = None,
+    relative: float = 0.0,
+) -> Column:
+    """Numbers at most ``precision`` (or that share of the larger) apart; NULL only equals NULL.
+
+    Whole numbers and decimals (``kinds``, the types of both sides) are compared exactly;
+    otherwise as doubles, where NaN only equals NaN.  A difference too large for a decimal is
+    a difference.
+    """
+    if kinds is not None and all(isinstance(k, EXACT_TYPES) for k in kinds):
+        scale = max(map(_scale, kinds))
+        x, y = (c.try_cast(T.DecimalType(38, scale)) for c in (a, b))
+        apart = F.abs(F.try_subtract(x, y))
+        # Differences have so many digits after the point and no more: neither needs the limit.
+        limit = F.lit(Decimal(repr(float(precision))).quantize(Decimal(1).scaleb(-scale), ROUND_FLOOR))
+    else:
+        x, y = a.cast("double"), b.cast("double")
+        apart, limit = F.abs(x - y), F.lit(float(precision))
+    if relative:
+        limit = F.greatest(limit.cast("double"), F.lit(relative) * F.greatest(F.abs(x), F.abs(y)).cast("double"))
+    return equal(a, b) | F.coalesce(apart <= limit, F.lit(False))
 
 
 def column_mismatches(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -34,7 +65,8 @@ def column_mismatches(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def column_mismatches_approx(df: DataFrame, a: str, b: str, precision: float) -> DataFrame:
     """Rows in which two numeric columns are more than ``precision`` apart."""
-    return df.where(~about_equal(named(a), named(b), precision))
+    kinds = (df.schema[a].dataType, df.schema[b].dataType)
+    return df.where(~about_equal(named(a), named(b), precision, kinds))
 
 
 def schema_differences(left: DataFrame, right: DataFrame) -> list[str]:
@@ -82,82 +114,123 @@ def dataframe_diff_approx(
 ) -> DataFrame:
     """Keyed difference with a tolerance for numbers.
 
-    One row per key that differs: ``kind`` is ``left_only``, ``right_only``, ``changed`` or
-    ``repeated_key`` (the key is not unique on a side, so that its rows cannot be paired;
-    ``left_rows`` and ``right_rows`` count them), ``columns`` the names of changed columns,
-    ``left`` and ``right`` the values.  The sides meet in an aggregate rather than a join:
-    NULL keys are equal to each other, and a key repeated very often is combined before
-    the shuffle instead of multiplied after it.
+    One row per key that differs: ``kind`` is ``left_only``, ``right_only`` or ``changed``,
+    ``columns`` the names of changed columns, ``left`` and ``right`` the values.  Rows of a key
+    that is not unique on a side cannot be paired; they are compared as a multiset, and each
+    row of which one side has more copies is a row of kind ``repeated_key``, under the side
+    that has more, with the copies in ``left_rows`` and ``right_rows``.  NULL keys are equal.
+
+    A first pass over fixed-width rows (counts and a 64-bit hash of the values per key, added
+    up before the shuffle) finds the keys with any difference; only their rows are shuffled.
     """
     require_same_schema(left, right)
     values = [f for f in left.schema if f.name not in key]
-    tagged = [
-        df.select(
-            *(named(c) for c in key),
-            F.lit(side).alias("__side"),
-            F.struct(*(named(f.name) for f in values)).alias("__row"),
-        )
-        for side, df in (("left", left), ("right", right))
-    ]
+    keys = [f"__by_{i}" for i in range(len(key))]
+    sides = (("left", left), ("right", right))
 
     def of(side: str) -> Column:
         return F.col("__side") == side
 
+    def tagged(*more: Column) -> DataFrame:
+        parts = [
+            df.select(*(named(c).alias(k) for c, k in zip(key, keys)), F.lit(side).alias("__side"), *more)
+            for side, df in sides
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    counts = [F.count_if(of(side)).alias(f"{side}_rows") for side, _ in sides]
+    hashed = tagged(F.xxhash64(F.lit(0), *(named(f.name) for f in values)).alias("__hash"))
+    differing = set_aside(
+        hashed.groupBy(*keys)
+        .agg(*counts, F.min("__hash").alias("__low"), F.max("__hash").alias("__high"))
+        .where("not (left_rows = 1 and right_rows = 1 and __low = __high)")
+        .drop("__low", "__high")
+    )
+    single = (F.col("left_rows") <= 1) & (F.col("right_rows") <= 1)
+    rows = tagged(F.struct(*(named(f.name) for f in values)).alias("__row"))
+    rows = join_unique(rows, differing, keys, "inner", null_safe=True)
+
     pairs = (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(*(named(c) for c in key))
+        rows.where(single)
+        .groupBy(*keys, "left_rows", "right_rows")
         .agg(
-            F.count_if(of("left")).alias("left_rows"),
-            F.count_if(of("right")).alias("right_rows"),
             F.max(F.when(of("left"), F.col("__row"))).alias("left"),
             F.max(F.when(of("right"), F.col("__row"))).alias("right"),
         )
     )
     changed = F.array_compact(
-        F.array(*(F.when(~_field_equal(f, precision), F.lit(f.name)) for f in values))
+        F.array(*(F.when(~_field_equal(f, precision), F.lit(f.name)) for f in values)).cast("array<string>")
     )
     kind = (
-        F.when((F.col("left_rows") > 1) | (F.col("right_rows") > 1), "repeated_key")
-        .when(F.col("right_rows") == 0, "left_only")
+        F.when(F.col("right_rows") == 0, "left_only")
         .when(F.col("left_rows") == 0, "right_only")
         .when(F.size(changed) > 0, "changed")
     )
-    return (
-        pairs.withColumn("kind", kind)
-        .where(F.col("kind").isNotNull())
-        .select(
-            *(named(c) for c in key),
-            "kind",
-            "left_rows",
-            "right_rows",
-            F.when(F.col("kind") == "changed", changed).alias("columns"),
-            "left",
-            "right",
-        )
+    paired = pairs.withColumn("kind", kind).where(F.col("kind").isNotNull())
+
+    copies = rows.where(~single).drop("left_rows", "right_rows").groupBy(*keys, "__row").agg(*counts)
+    more = F.col("left_rows") > F.col("right_rows")
+    repeated = copies.where(F.col("left_rows") != F.col("right_rows")).select(
+        *keys,
+        F.lit("repeated_key").alias("kind"),
+        "left_rows",
+        "right_rows",
+        F.lit(None).cast("array<string>").alias("columns"),
+        F.when(more, F.col("__row")).alias("left"),
+        F.when(~more, F.col("__row")).alias("right"),
     )
+    found = paired.select(
+        *keys,
+        "kind",
+        "left_rows",
+        "right_rows",
+        F.when(F.col("kind") == "changed", changed).alias("columns"),
+        "left",
+        "right",
+    ).unionByName(repeated)
+    return found.withColumnsRenamed(dict(zip(keys, key)))
 
 
 def _field_equal(field: T.StructField, precision: float) -> Column:
     a, b = F.col("left").getField(field.name), F.col("right").getField(field.name)
     if isinstance(field.dataType, T.NumericType):
-        return about_equal(a, b, precision)
+        return about_equal(a, b, precision, (field.dataType, field.dataType))
     return equal(a, b)
 
 
 def reconcile(
-    expected: DataFrame, actual: DataFrame, measure: str, precision: float = 1e-6
+    expected: DataFrame,
+    actual: DataFrame,
+    measure: str,
+    precision: float = 1e-6,
+    relative: float = 1e-9,
 ) -> DataFrame:
-    """One row that compares column count, row count and mean of a measure."""
+    """One row that compares column count, row count and mean of a measure.
+
+    Whole numbers and decimals agree if their sums are the same.  Sums of doubles depend on
+    how the rows are partitioned: their means agree if they are ``relative`` of the larger
+    apart at most, or ``precision`` if that is more.
+    """
+    kinds = tuple(df.schema[measure].dataType for df in (expected, actual))
+    exact = all(isinstance(k, EXACT_TYPES) for k in kinds)
     both = expected.select(F.lit(True).alias("__expected"), named(measure).alias("__x")).unionByName(
         actual.select(F.lit(False).alias("__expected"), named(measure).alias("__x"))
     )
     wanted = F.col("__expected")
+    scale = max((k.scale for k in kinds if isinstance(k, T.DecimalType)), default=0)
+    total = F.col("__x").cast(T.DecimalType(38, scale)) if exact else F.col("__x").cast("double")
     summary = both.agg(
         F.count_if(wanted).alias("expected_rows"),
         F.count_if(~wanted).alias("actual_rows"),
         F.avg(F.when(wanted, F.col("__x"))).alias("expected_mean"),
         F.avg(F.when(~wanted, F.col("__x"))).alias("actual_mean"),
+        F.try_sum(F.when(wanted, total)).alias("__expected_sum"),
+        F.try_sum(F.when(~wanted, total)).alias("__actual_sum"),
     )
+    if exact:
+        same = equal(F.col("__expected_sum"), F.col("__actual_sum"))
+    else:
+        same = about_equal(F.col("expected_mean"), F.col("actual_mean"), precision, relative=relative)
     return summary.select(
         F.lit(len(expected.columns)).alias("expected_columns"),
         F.lit(len(actual.columns)).alias("actual_columns"),
@@ -168,6 +241,6 @@ def reconcile(
         (
             F.lit(len(expected.columns) == len(actual.columns))
             & (F.col("expected_rows") == F.col("actual_rows"))
-            & about_equal(F.col("expected_mean"), F.col("actual_mean"), precision)
+            & same
         ).alias("agrees"),
     )

@@ -1,113 +1,31 @@
 """Columns to lists and dictionaries, in pieces of bounded size.
 
-A list of a small group is one row.  A list or dictionary of a whole column, or of a hot
-group, fits neither a task nor the driver, and is returned as several rows: such a group is
-cut into *slices* by a monotone function of the ordering column, and a slice into *chunks*
-of at most ``chunk_size`` entries.  Reading the rows of a group by (slice, chunk) gives the
-whole list in order.  One shuffle by group and slice spreads the work.
+A list of a whole column, or of a hot group, fits neither a task nor the driver.  A list is
+returned as rows of (group, ``start``, values): ``start`` is the exact position, from 0, of
+the first value in the group's list, and no row holds more than ``chunk_size`` values.
+Read by ``start``, the rows of a group are the whole list in order.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright.functions.chance import hash_number
-from tablewright.operators.lookups import join_unique, local_table
 from tablewright.operators.names import named
-from tablewright.sources.scratch import checkpointed
+from tablewright.sources.scratch import set_aside
 
 CHUNK_SIZE = 10_000
-# More slices than chunks are needed, so that nearly every slice is a single chunk.
-SLICES_PER_CHUNK = 1.25
-# A slice is cut again if it holds more than this many chunks, so often at most.
-UNEVEN_CHUNKS = 4
-MAX_LEVELS = 8
-# Large pieces are brought to the driver if they are no more than this.
-LOCAL_PIECES = 1000
-
-
-def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], size: int) -> DataFrame:
-    """Number the rows of each piece and the chunks they make: ``__position`` and ``chunk``."""
-    window = Window.partitionBy(*(named(c) for c in keys)).orderBy(*order)
-    return df.withColumn("__position", F.row_number().over(window) - 1).withColumn(
-        "chunk", F.floor(F.col("__position") / F.lit(size)).cast("int")
-    )
+REPEATED_KEYS = ("max", "fail")
 
 
-def _as_number(df: DataFrame, order: str) -> Column | None:
-    """A double that never falls while ``order`` rises; None if there is no simple one."""
-    col, kind = named(order), df.schema[order].dataType
-    if isinstance(kind, T.NumericType):
-        return col.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        days = F.unix_date(col.cast("date")).cast("double")
-        return ((days * 24 + F.hour(col)) * 60 + F.minute(col)) * 60 + F.second(col)
-    return None
-
-
-def cut_large_groups(
-    df: DataFrame, order: str, by: Sequence[str], size: int
-) -> tuple[DataFrame, list[str]]:
-    """Cut groups of more than ``size`` rows; returns the columns added, coarse to fine.
-
-    Pieces are counted, the large ones, few by comparison, are joined back, and their rows
-    are cut by where they lie between the piece's least and greatest position.  Positions
-    need not be spread evenly: a piece that stays too large is cut again between what are
-    now its own least and greatest, which leaves outliers behind.
-    """
-    position = _as_number(df, order)
-    levels: list[str] = []
-    while len(levels) < MAX_LEVELS:
-        keys = [*by, *levels]
-        measured = F.lit(None).cast("double") if position is None else position
-        counted = df.groupBy(*(named(c) for c in keys)).agg(
-            F.count(F.lit(1)).alias("__rows"),
-            F.min(measured).alias("__low"),
-            F.max(measured).alias("__high"),
-        )
-        large = counted.where(F.col("__rows") > (size * UNEVEN_CHUNKS if levels else size))
-        if position is not None:
-            large = large.where(F.col("__high") > F.col("__low"))
-        found = large.limit(LOCAL_PIECES + 1).collect()
-        if not found:
-            break
-        if position is None:
-            raise ValueError(
-                f"a group has more than {size} rows and {order!r} is neither a number nor a "
-                "time: pass slice_by, a monotone function of it"
-            )
-        if not keys:
-            cut = df.withColumns({c: F.lit(found[0][c]) for c in ("__rows", "__low", "__high")})
-        elif len(found) <= LOCAL_PIECES:
-            local = local_table(df.sparkSession, found, large.schema)
-            size_of = sum(len(str(row)) for row in found)
-            cut = join_unique(df, local, keys, "left", null_safe=True, table_bytes=size_of)
-        else:
-            cut = join_unique(df, checkpointed(large), keys, "left", null_safe=True)
-        level = f"__level_{len(levels)}"
-        df = cut.withColumn(level, _slice_of(position, size)).drop("__rows", "__low", "__high")
-        levels.append(level)
-    return df, levels
-
-
-def _slice_of(position: Column, size: int) -> Column:
-    """The equal part of its piece's range in which a row lies; 0 if it is not to be cut.
-
-    Rows without a position are sorted first, and belong in the first part.
-    """
-    rows, low, high = (F.col(c) for c in ("__rows", "__low", "__high"))
-    parts = F.ceil(rows * F.lit(SLICES_PER_CHUNK) / F.lit(size))
-    number = F.least(F.floor(F.try_divide(position - low, high - low) * parts), parts - 1)
-    return F.when((high > low) & position.isNotNull(), number).otherwise(0).cast("bigint")
+def _numbered(window_keys: Sequence[str], order: Sequence[str], df: DataFrame, size: int) -> DataFrame:
+    window = Window.partitionBy(*window_keys).orderBy(*order)
+    return df.withColumn("__at", F.row_number().over(window) - 1).withColumn(
+        "__chunk", F.floor(F.col("__at") / F.lit(size))
+    )
 
 
 def columns_to_lists(
@@ -115,74 +33,66 @@ def columns_to_lists(
     columns: Sequence[str],
     order: str,
     by: Sequence[str] = (),
-    slice_by: Column | None = None,
     chunk_size: int = CHUNK_SIZE,
+    greatest: str | None = None,
 ) -> DataFrame:
     """Aligned lists of several columns, NULLs included, in the order of ``order``.
 
-    ``order`` should be unique within a group: it is what makes the lists repeatable, and
-    what a large group is cut by.  ``slice_by``, an integer that never falls while ``order``
-    rises, cuts all groups instead.
+    All rows are range-partitioned by (group, order, hash of the row), whose cut points Spark
+    samples in one pass: they are compared and never computed with, so any orderable type,
+    NaN, infinity and outliers are cut alike, and ties by their hash.  A group, however hot,
+    spreads over as many partitions as it needs.  The chunks are written once; where a
+    partition starts within a group follows from their sizes, one row per group and
+    partition.  Rows that tie in ``order`` follow each other by hash.  ``greatest`` adds
+    ``max_<column>``, the maximum over the whole group.
     """
-    if slice_by is None:
-        df, levels = cut_large_groups(df, order, by, chunk_size)
-    else:
-        df, levels = df.withColumn("__level_0", slice_by.cast("bigint")), ["__level_0"]
-    pieces = df.select(
-        *(named(c) for c in by),
-        *levels,
-        named(order).alias("__order"),
-        F.struct(*(named(c) for c in columns)).alias("__values"),
-    )
-    keys = [*by, *levels]
-    entries = F.sort_array(F.collect_list(F.struct("__position", "__values")))
-    chunks = (
-        _chunks(pieces, keys, [F.col("__order")], chunk_size)
-        .groupBy(*(named(c) for c in keys), "chunk")
-        .agg(entries.alias("__entries"))
-    )
-    if len(levels) > 1:
-        offsets = checkpointed(_chunk_offsets(pieces, by, levels, chunk_size))
-        chunks = join_unique(chunks, offsets, keys, "left", null_safe=True).withColumn(
-            "chunk", (F.col("chunk") + F.coalesce("__offset", F.lit(0))).cast("int")
+    keys = [f"__by_{i}" for i in range(len(by))]
+    fields = [named(c).alias(f"__value_{i}") for i, c in enumerate(columns)]
+    ranged = (
+        df.select(
+            *(named(c).alias(k) for c, k in zip(by, keys)),
+            named(order).alias("__order"),
+            F.struct(*fields).alias("__values"),
         )
-    return chunks.select(
-        *(named(c) for c in by),
-        (F.col(levels[0]) if levels else F.lit(0).cast("bigint")).alias("slice"),
-        "chunk",
-        # A field of an array of structs is the array of that field.
-        *(F.col("__entries").getField("__values").getField(c).alias(c) for c in columns),
+        .withColumn("__tie", F.xxhash64("__values"))
+        .repartitionByRange(*keys, "__order", "__tie")
+        .withColumn("__part", F.spark_partition_id())
     )
-
-
-def _chunk_offsets(
-    pieces: DataFrame, by: Sequence[str], levels: Sequence[str], size: int
-) -> DataFrame:
-    """Where the chunks of a slice's later pieces start to be numbered."""
-    earlier = (
-        Window.partitionBy(*(named(c) for c in by), levels[0])
-        .orderBy(*levels[1:])
-        .rowsBetween(Window.unboundedPreceding, -1)
+    entries = F.sort_array(F.collect_list(F.struct("__at", "__values")))
+    chunks = set_aside(
+        _numbered(["__part", *keys], ["__order", "__tie"], ranged, chunk_size)
+        .groupBy("__part", *keys, "__chunk")
+        .agg(entries.getField("__values").alias("__list"))
     )
-    counted = pieces.groupBy(*(named(c) for c in by), *levels).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("__chunks")
+    measured = [F.sum(F.size("__list")).alias("__rows")]
+    if greatest is not None:
+        values = F.col("__list").getField(f"__value_{list(columns).index(greatest)}")
+        measured.append(F.max(F.array_max(values)).alias("__greatest"))
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        chunks.groupBy("__part", *keys)
+        .agg(*measured)
+        .withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
     )
-    return (
-        counted.withColumn("__offset", F.sum("__chunks").over(earlier))
-        .where(F.col("__offset") > 0)
-        .drop("__chunks")
+    if greatest is not None:
+        parts = parts.withColumn("__greatest", F.max("__greatest").over(group))
+    own = [k + "_own" for k in ("__part", *keys)]
+    parts = parts.drop("__rows").withColumnsRenamed(dict(zip(("__part", *keys), own)))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(("__part", *keys), own)]
+    return chunks.join(parts, same).select(
+        *(F.col(k).alias(c) for c, k in zip(by, keys)),
+        (F.col("__before") + F.col("__chunk") * F.lit(chunk_size)).cast("bigint").alias("start"),
+        # A field of an array of structs is the array of that field.
+        *(F.col("__list").getField(f"__value_{i}").alias(c) for i, c in enumerate(columns)),
+        *([F.col("__greatest").alias(f"max_{greatest}")] if greatest is not None else []),
     )
 
 
 def column_to_list(
-    df: DataFrame,
-    column: str,
-    order: str,
-    by: Sequence[str] = (),
-    slice_by: Column | None = None,
-    chunk_size: int = CHUNK_SIZE,
+    df: DataFrame, column: str, order: str, by: Sequence[str] = (), chunk_size: int = CHUNK_SIZE
 ) -> DataFrame:
-    return columns_to_lists(df, [column], order, by, slice_by, chunk_size)
+    return columns_to_lists(df, [column], order, by, chunk_size)
 
 
 def two_columns_to_lists(
@@ -191,29 +101,32 @@ def two_columns_to_lists(
     second: str,
     order: str,
     by: Sequence[str] = (),
-    slice_by: Column | None = None,
     chunk_size: int = CHUNK_SIZE,
 ) -> DataFrame:
-    return columns_to_lists(df, [first, second], order, by, slice_by, chunk_size)
+    return columns_to_lists(df, [first, second], order, by, chunk_size)
 
 
 def collect_groups(
-    df: DataFrame,
-    by: Sequence[str],
-    column: str,
-    order: str,
-    slice_by: Column | None = None,
-    chunk_size: int = CHUNK_SIZE,
+    df: DataFrame, by: Sequence[str], column: str, order: str, chunk_size: int = CHUNK_SIZE
 ) -> DataFrame:
-    """Group to the list of its non-NULL values and their maximum.
+    """Group to the list of its non-NULL values, and their maximum over the whole group.
 
-    ``max_<column>`` is the maximum of the row's own chunk; that of the group is the
-    maximum over its rows.
+    A group of NULLs alone has one row with an empty list.
     """
-    lists = column_to_list(df, column, order, by, slice_by, chunk_size)
-    return lists.withColumn(column, F.filter(named(column), lambda x: x.isNotNull())).withColumn(
-        f"max_{column}", F.array_max(named(column))
+    present = named(column).isNotNull()
+    lists = columns_to_lists(df.where(present), [column], order, by, chunk_size, column)
+    empty = (
+        df.groupBy(*(named(c) for c in by))
+        .agg(F.count(named(column)).alias("__present"))
+        .where(F.col("__present") == 0)
+        .select(
+            *(named(c) for c in by),
+            F.lit(0).cast("bigint").alias("start"),
+            F.array().cast(lists.schema[column].dataType).alias(column),
+            F.lit(None).cast(lists.schema[f"max_{column}"].dataType).alias(f"max_{column}"),
+        )
     )
+    return lists.unionByName(empty)
 
 
 def two_columns_to_map(
@@ -222,19 +135,26 @@ def two_columns_to_map(
     value: str,
     output: str = "entries",
     chunk_size: int = CHUNK_SIZE,
+    on_repeated: str = "max",
 ) -> DataFrame:
     """A dictionary from two columns, as rows of (slice, chunk, map).
 
-    Keys are made unique first (the greatest value is kept); a NULL key is an error.  The
-    slice is a hash of the key, so one key is in one row only.  A dictionary of at most
-    about ``chunk_size`` keys is one row.
+    Of several values for a key the greatest is kept, or (``on_repeated="fail"``) different
+    ones are an error; a NULL key is an error.  The slice is a hash of the key, so one key is
+    in one row only.  A dictionary of at most ``chunk_size`` keys is one row.
     """
-    keys = df.agg(F.approx_count_distinct(named(key)).alias("keys")).first()["keys"]
-    slices = math.ceil(keys * SLICES_PER_CHUNK / chunk_size) if keys > chunk_size else 1
-    unique = df.groupBy(named(key).alias("__key")).agg(F.max(named(value)).alias("__value"))
+    if on_repeated not in REPEATED_KEYS:
+        raise ValueError(f"on_repeated must be one of {list(REPEATED_KEYS)}, not {on_repeated!r}")
+    greatest: Column = F.max(named(value))
+    if on_repeated == "fail":
+        single = greatest.eqNullSafe(F.min(named(value)))
+        greatest = F.when(single, greatest).otherwise(F.raise_error(F.lit("A key has several values")))
+    unique = set_aside(df.groupBy(named(key).alias("__key")).agg(greatest.alias("__value")))
+    keys = unique.count()
+    slices = 1 if keys <= chunk_size else -(-2 * keys // chunk_size)
     sliced = unique.withColumn("slice", hash_number(0, [F.col("__key")]) % F.lit(slices))
     return (
-        _chunks(sliced, ["slice"], [F.col("__key")], chunk_size)
-        .groupBy("slice", "chunk")
+        _numbered(["slice"], ["__key"], sliced, chunk_size)
+        .groupBy("slice", F.col("__chunk").cast("int").alias("chunk"))
         .agg(F.map_from_entries(F.collect_list(F.struct("__key", "__value"))).alias(output))
     )

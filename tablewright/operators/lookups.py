@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.maps import MAX_LITERAL_ENTRIES, translate_values
+from tablewright.functions.maps import MAX_LITERAL_ENTRIES, translate_values, value_type_of
 from tablewright.operators.names import named
 
 BROADCAST_BYTES = 64 << 20
@@ -18,6 +19,8 @@ BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD_BYTES = 64
 # A key with more than this share of all rows is hot; there can be at most 1/share of them.
 HOT_SHARE = 1 / 500
+# Table rows of hot keys are broadcast up to this size.
+HOT_BYTES = 64 << 20
 # Enough rows to see a share of that size: a hot key has some 2,000 of them.
 HOT_SAMPLE_ROWS = 1_000_000
 
@@ -65,14 +68,15 @@ def join_unique(
     null_safe: bool = False,
     table_bytes: int | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Join ``df`` with a table that holds each key at most once.
 
     A table of at most ``max_broadcast_bytes`` (``table_bytes``, or measured) is broadcast.
     A larger one is shuffled, but not for the hot keys of ``df``: there are at most
-    ``1 / hot_share`` keys with more than that share of its rows, and so their few table
-    rows are broadcast.  No row of a hot key is shuffled, and none is dropped.
+    ``1 / hot_share`` keys with more than that share of its rows (by default half of what a
+    shuffle partition has), and so their few table rows are broadcast if they, too, are
+    measured to be small.  No row of a hot key is shuffled then, and none is dropped.
     ``null_safe`` lets NULL keys match NULL keys.
 
     ``df`` is read up to four times; ``checkpoint()`` it first if it is dear to compute.
@@ -96,9 +100,12 @@ def join_unique(
     if table_bytes <= max_broadcast_bytes:
         return joined(df, F.broadcast(table))
 
+    if hot_share is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot_share = min(HOT_SHARE, 1 / (2 * partitions))
     hot = hot_keys(df, on, keys, hot_share)
     if hot is None:
-        return joined(df, table)
+        return joined(df, table.hint("merge"))
 
     def part_of(rows: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
         return rows.join(F.broadcast(hot), _matches(rows, hot, columns, keys, True), kind)
@@ -109,7 +116,11 @@ def join_unique(
         reduce(lambda a, b: a & b, (F.col(f"entries.{k}").eqNullSafe(F.col(f"{k}_hot")) for k in keys)),
         "left_semi",
     )
-    return joined(hot_rows, F.broadcast(hot_entries)).unionByName(joined(cold_rows, table))
+    if measured_bytes(hot_entries) > max(max_broadcast_bytes, HOT_BYTES):
+        return joined(df, table.hint("merge"))
+    return joined(hot_rows, F.broadcast(hot_entries)).unionByName(
+        joined(cold_rows, table.hint("merge"))
+    )
 
 
 def hot_keys(
@@ -117,7 +128,7 @@ def hot_keys(
     on: Sequence[str],
     names: Sequence[str],
     share: float = HOT_SHARE,
-    sample_rows: int = HOT_SAMPLE_ROWS,
+    sample_rows: int | None = None,
 ) -> DataFrame | None:
     """The keys with more than ``share`` of all rows, as a local table; None if there are none.
 
@@ -125,6 +136,7 @@ def hot_keys(
     whatever it misses is joined all the same.
     """
     total = df.count()
+    sample_rows = sample_rows or math.ceil(HOT_SAMPLE_ROWS * HOT_SHARE / share)
     fraction = min(1.0, sample_rows / max(total, 1))
     keys = df.select(*(named(c).alias(k) for c, k in zip(on, names)))
     counted = keys.sample(fraction, seed=0) if fraction < 1 else keys
@@ -164,16 +176,21 @@ def map_values_from(
     value: str,
     output: str,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    on_repeated: str = "max",
 ) -> DataFrame:
     """Look ``column`` up in a mapping table; NULL where it is missing.
 
     The mapping may be as large as it likes: see :func:`join_unique`.  Of several values
-    for a key the greatest is taken.
+    for a key the greatest is taken, or (``on_repeated="fail"``) a repeated key is an error.
     """
+    if on_repeated not in ("max", "fail"):
+        raise ValueError(f"on_repeated must be 'max' or 'fail', not {on_repeated!r}")
     entries = mapping.where(named(key).isNotNull()).select(
         named(key).alias(column), named(value).alias(output)
     )
     found = profile(entries, [column])
+    if found.keys < found.rows and on_repeated == "fail":
+        raise ValueError(f"{found.rows} entries for {found.keys} different keys")
     if found.keys < found.rows:
         entries = unique_keys(entries, column, output)
     return join_unique(
@@ -195,17 +212,22 @@ def map_values(
 ) -> DataFrame:
     """Look ``column`` up in a Python dictionary; NULL where it is missing.
 
-    A small dictionary becomes a literal map, a larger one a broadcast table; either way
-    its size is that of the driver's dictionary, which does not grow with the data.
+    The values have one type (``value_type``, or inferred: whole numbers are ``bigint``),
+    whatever the size.  A small dictionary becomes a literal map, a larger one a table, which
+    is broadcast only if it is measured to be small.
     """
-    if len(dictionary) <= MAX_LITERAL_ENTRIES and value_type is None:
-        return df.withColumn(output, translate_values(named(column), dictionary))
+    value_type = value_type or value_type_of(dictionary.values())
+    if len(dictionary) <= MAX_LITERAL_ENTRIES:
+        found = translate_values(named(column), dictionary).cast(value_type)
+        return df.withColumn(output, found)
     key_type = df.schema[column].dataType
     schema = T.StructType(
         [
-            T.StructField("__key", key_type, False),
-            T.StructField(output, value_type or T.StringType(), True),
+            T.StructField(column, key_type, False),
+            T.StructField(output, value_type, True),
         ]
     )
-    table = df.sparkSession.createDataFrame(list(dictionary.items()), schema)
-    return df.join(F.broadcast(table), named(column) == F.col("__key"), "left").drop("__key")
+    as_type = float if isinstance(value_type, T.DoubleType) else lambda v: v
+    entries = [(k, None if v is None else as_type(v)) for k, v in dictionary.items()]
+    table = df.sparkSession.createDataFrame(entries, schema)
+    return join_unique(df, table, [column])

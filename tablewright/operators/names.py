@@ -11,7 +11,7 @@ from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # How special characters are spelled in changed column names.
@@ -31,15 +31,20 @@ def named(name: str) -> Column:
     return F.col(quote_name(name))
 
 
+def require_unique(spark: SparkSession, names: Sequence[str]) -> None:
+    """Refuse names that could not be told apart afterwards."""
+    sensitive = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+    seen = Counter(n if sensitive else n.lower() for n in names)
+    repeated = sorted({n for n in names if seen[n if sensitive else n.lower()] > 1})
+    if repeated:
+        raise ValueError(f"this would repeat column names: {repeated}")
+
+
 def rename_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rename by position."""
     if len(names) != len(df.columns):
         raise ValueError(f"{len(df.columns)} columns but {len(names)} new names")
-    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
-    seen = Counter(n if sensitive else n.lower() for n in names)
-    repeated = sorted({n for n in names if seen[n if sensitive else n.lower()] > 1})
-    if repeated:
-        raise ValueError(f"renaming would repeat column names: {repeated}")
+    require_unique(df.sparkSession, names)
     return df.toDF(*names)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -29,14 +30,12 @@ def rank_top_k(
     output: str = "rank",
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Rows of rank 1 to ``k`` within their group, ties included.
+    """Rows of rank 1 to ``k`` within their group, or of all rows (no ``by``), ties included.
 
     A tie may hold any number of rows, so ranked rows are never gathered by group.  Only
     ``k`` values per group are: each task keeps its ``k`` best, the ranks follow from the
     ``k`` best of all, and the rows are then found by joining their values with the ranks.
     """
-    if not by:
-        raise ValueError("rank_top_k needs a grouping column; use sample or limit otherwise")
     best = checkpointed(best_ranks(df, by, order, k, descending, output))
     return join_unique(
         df, best, [*by, order], "inner", null_safe=True, max_broadcast_bytes=max_broadcast_bytes
@@ -49,11 +48,13 @@ def best_ranks(
     """The different values of rank 1 to ``k`` in each group: at most ``k`` rows per group."""
     direction = named(order).desc() if descending else named(order).asc()
     window = Window.partitionBy(*(named(c) for c in by)).orderBy(direction)
+    values = df.select(*(named(c) for c in by), named(order))
+    if by:
+        best = values.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= k)
+    else:
+        best = values.orderBy(direction).limit(k)
     return (
-        df.select(*(named(c) for c in by), named(order))
-        .withColumn("__n", F.row_number().over(window))
-        .where(F.col("__n") <= k)
-        .withColumn(output, F.rank().over(window))
+        best.withColumn(output, F.rank().over(window))
         .groupBy(*(named(c) for c in by), named(order))
         .agg(F.min(output).alias(output))
     )
@@ -62,16 +63,19 @@ def best_ranks(
 def sample_top_k(
     df: DataFrame, k: int, keys: Sequence[str] = (), seed: int | None = None
 ) -> DataFrame:
-    """``k`` random rows; with a seed and a unique key always the same ones."""
+    """``k`` random rows in no particular order; with a seed and a unique key always the same.
+
+    Without a seed one is drawn, once; without keys rows are told apart by all their columns.
+    """
     if seed is None:
-        return df.orderBy(F.rand()).limit(k)
-    return _least(_with_digest(df, keys, seed), keys, k).drop(DIGEST)
+        return sample_without_replacement(df, k, keys or df.columns, random.randrange(1 << 62))
+    if not keys:
+        raise ValueError("a seeded sample needs the columns of a unique key")
+    return sample_without_replacement(df, k, keys, seed)
 
 
 def _with_digest(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
     # A column of its own: as a sort expression it would be worked out at every comparison.
-    if not keys:
-        raise ValueError("a seeded sample needs the columns of a unique key")
     return df.withColumn(DIGEST, hash_text(seed, [named(c) for c in keys]))
 
 
@@ -82,7 +86,7 @@ def _least(hashed: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
 def sample_without_replacement(
     df: DataFrame, k: int, keys: Sequence[str], seed: int, merged_rows: int = MERGED_SAMPLE_ROWS
 ) -> DataFrame:
-    """Exactly ``k`` different rows (all, if there are fewer) for any ``k``.
+    """Exactly ``k`` different rows (all, if there are fewer) for any ``k``, in no particular order.
 
     The sample is the rows with the least hashes.  A small one is a top-k.  A large one
     would be merged in a single task by that; instead the rows below a hash that is just
@@ -90,9 +94,9 @@ def sample_without_replacement(
     :func:`_cut`.  Hashes being uniform, the first guess at that hash is nearly always
     enough; if it is not, it is raised until it is.
     """
-    if k <= merged_rows:
-        return sample_top_k(df, k, keys, seed)
     hashed = _with_digest(df, keys, seed)
+    if k <= merged_rows:
+        return _least(hashed, keys, k).drop(DIGEST)
     total = df.count()
     wanted = k + 6 * math.sqrt(k) + 100
     while wanted < total:

@@ -13,6 +13,7 @@ from tablewright.functions.text import split_fields
 from tablewright.operators.names import named
 
 BAD_LINE_POLICIES = ("fail", "drop", "split")
+BAD_RECORD = "__bad_record"
 
 
 def extract(spark: SparkSession, path: str) -> DataFrame:
@@ -43,14 +44,24 @@ def read_csv(
     schema: T.StructType | str,
     null_text: str = "",
     multi_line: bool = False,
-) -> DataFrame:
+    on_bad: str = "fail",
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read what :func:`tablewright.sources.writers.load_csv` wrote.
 
-    ``multi_line`` reads values with line breaks in them, at the price that a file is no
-    longer split between tasks.
+    The header has to agree with the schema.  A malformed row ends the job (``fail``), is left
+    out (``drop``), or comes back as text next to the good rows (``split``).  ``multi_line``
+    reads values with line breaks in them, at the price that a file is no longer split between
+    tasks; ``load_csv`` bounds the rows of a file.
     """
-    return (
-        spark.read.schema(schema)
+    if on_bad not in BAD_LINE_POLICIES:
+        raise ValueError(f"on_bad must be one of {list(BAD_LINE_POLICIES)}, not {on_bad!r}")
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    full = T.StructType([*wanted.fields, T.StructField(BAD_RECORD, T.StringType())])
+    rows = (
+        spark.read.schema(wanted if on_bad == "fail" else full)
+        .option("mode", "FAILFAST" if on_bad == "fail" else "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_RECORD)
+        .option("enforceSchema", on_bad != "fail")
         .option("header", True)
         .option("escape", '"')
         .option("nullValue", null_text)
@@ -58,6 +69,18 @@ def read_csv(
         .option("multiLine", multi_line)
         .csv(path)
     )
+    # A condition on all columns that always holds: no pruning hides a malformed one.
+    everything = F.xxhash64(*(named(f.name) for f in wanted.fields))
+    rows = rows.where(everything >= F.lit(-(2**63)))
+    if on_bad == "fail":
+        return rows
+    bad = F.col(BAD_RECORD).isNotNull()
+    good = rows.where(~bad).select(*(named(f.name) for f in wanted.fields))
+    if on_bad == "drop":
+        return good
+    # Spark reads no bad records alone: a text of no length of the other columns goes with them.
+    text = F.concat(F.col(BAD_RECORD), F.substring(everything.cast("string"), 1, 0))
+    return good, rows.where(bad).select(text.alias("value"))
 
 
 def from_rows(
@@ -68,9 +91,8 @@ def from_rows(
 
 
 def sql_over(df: DataFrame, view: str, statement: str) -> DataFrame:
-    """Register a temporary view and run a statement over it."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(statement)
+    """Run a statement that names the DataFrame as ``{view}``; no view of the caller's is touched."""
+    return df.sparkSession.sql(statement, **{view: df})
 
 
 def read_strict_delimited(

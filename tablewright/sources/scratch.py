@@ -31,6 +31,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def set_aside(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder once, and go on from the table.
+
+    Unlike a checkpoint it computes nothing twice and is read by column.
+    """
+    spark, names = df.sparkSession, [f"c{i}" for i in range(len(df.columns))]
+    path = scratch_path(spark, "rows")
+    plain = df.toDF(*names)
+    plain.write.parquet(path)
+    return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there."""
     context = df.sparkSession.sparkContext

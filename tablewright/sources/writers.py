@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+# A file with line breaks in its values is read by one task.
+MAX_ROWS_PER_FILE = 1_000_000
+
 
 def _writer(df: DataFrame, mode: str, rebalance: bool, *columns: str) -> DataFrameWriter:
     even = df.hint("rebalance", *columns) if rebalance else df
@@ -21,8 +24,9 @@ def load_csv(
     mode: str = "overwrite",
     null_text: str = "",
     rebalance: bool = False,
+    max_rows_per_file: int = MAX_ROWS_PER_FILE,
 ) -> None:
-    """Write CSV files with a header.
+    """Write CSV files with a header, none with more than ``max_rows_per_file`` rows.
 
     With the default ``null_text`` a NULL and an empty string read back alike; give a text
     that does not occur to keep them apart.
@@ -34,6 +38,7 @@ def load_csv(
         .option("nullValue", null_text)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", max_rows_per_file)
         .csv(path)
     )
 

@@ -9,75 +9,107 @@ from tests.helpers import bag, plan, values
 
 
 @pytest.fixture
-def bags(spark):
-    rows = [("ann", {"a": "1", "b": "2"}), ("ben", {"b": "3", "z": "4"}), ("cy", None)]
-    return spark.createDataFrame(rows, "who string, things map<string,string>")
+def entries(spark):
+    """Row n has the keys of its divisors among 2, 3 and 5; the last row has no map."""
+    divisors = [F.when(F.col("n") % d == 0, F.struct(F.lit(f"d{d}").alias("k"), (F.col("n") / d).cast("int").cast("string").alias("v"))) for d in (5, 2, 3)]
+    table = F.map_from_entries(F.array_compact(F.array(*divisors)))
+    return spark.range(1, 13).toDF("n").withColumn("m", F.when(F.col("n") < 12, table))
 
 
-def test_map_value(bags):
-    assert values(bags.select(M.map_value(F.col("things"), "a").alias("a"))) == ["1", None, None]
+def wanted(n, d):
+    return str(n // d) if n % d == 0 and n < 12 else None
 
 
-def test_distinct_keys(bags):
-    assert sorted(values(O.map_distinct_keys(bags, "things"))) == ["a", "b", "z"]
+def test_map_value(entries):
+    assert values(entries.select(M.map_value(F.col("m"), "d3").alias("x"))) == [wanted(n, 3) for n in range(1, 13)]
 
 
-def test_map_to_columns_with_given_keys(bags):
-    wide = O.map_to_columns(bags, "things", ["z", "a", "none"])
-    assert wide.columns == ["who", "z", "a", "none"]
-    assert wide.collect() == [("ann", None, "1", None), ("ben", "4", None, None), ("cy", None, None, None)]
+def test_distinct_keys(entries):
+    assert sorted(values(O.map_distinct_keys(entries, "m"))) == ["d2", "d3", "d5"]
 
 
-def test_map_to_columns_discovers_keys_in_order(bags):
-    wide = O.map_to_columns(bags, "things")
-    assert wide.columns == ["who", "a", "b", "z"]
-    assert wide.collect()[1] == ("ben", None, "3", "4")
-    assert O.map_to_columns(bags, "things", keep=[]).columns == ["a", "b", "z"]
+def test_map_to_columns_with_given_keys(entries):
+    wide = O.map_to_columns(entries, "m", ["d5", "none", "d2"])
+    assert wide.columns == ["n", "d5", "none", "d2"]
+    assert wide.collect() == [(n, wanted(n, 5), None, wanted(n, 2)) for n in range(1, 13)]
 
 
-def test_discovery_is_bounded(bags):
+def test_map_to_columns_discovers_keys_in_order(entries):
+    wide = O.map_to_columns(entries, "m", max_keys=3)
+    assert wide.columns == ["n", "d2", "d3", "d5"]
+    assert wide.collect() == [(n, *(wanted(n, d) for d in (2, 3, 5))) for n in range(1, 13)]
+    assert O.map_to_columns(entries, "m", keep=[], max_keys=3).columns == ["d2", "d3", "d5"]
+
+
+def test_wide_maps_are_bounded_and_named_apart(entries):
     with pytest.raises(ValueError, match="more than 2 distinct values"):
-        O.map_to_columns(bags, "things", max_keys=2)
+        O.map_to_columns(entries, "m", max_keys=2)
+    with pytest.raises(ValueError, match="map_to_rows"):
+        O.map_to_columns(entries, "m")
+    with pytest.raises(ValueError, match="repeat column names"):
+        O.map_to_columns(entries.withColumnRenamed("n", "d2"), "m", ["d2"])
+
+
+def test_map_to_rows(entries):
+    long = O.map_to_rows(entries, "m")
+    assert long.columns == ["n", "key", "value"]
+    assert bag(long) == {(n, f"d{d}", wanted(n, d)): 1 for n in range(1, 12) for d in (2, 3, 5) if n % d == 0}
 
 
 def test_nested_values(spark):
-    schema = (
-        "hello string, person struct<Name: string, Age: string, "
-        "fields: struct<Color: string, Hobby: map<string,string>, Skills: map<string,string>>>"
+    inner = F.create_map(F.lit("x"), F.col("id").cast("string"))
+    outer = F.struct(
+        F.col("id").alias("n"), F.struct(F.when(F.col("id") != 2, inner).alias("deep")).alias("mid")
     )
-    rows = [
-        ("hi", ("Dee", "25", ("Blue", {"Dance": "1"}, {"Code": "2"}))),
-        ("hi", ("Eve", "28", ("Red", {"Dance": "5", "Sing": "6"}, None))),
-        ("hi", None),
-    ]
-    df = spark.createDataFrame(rows, schema)
-    person = F.col("person")
-    assert df.select(
-        M.nested_value(person, "Name"),
-        M.nested_value(person, "fields", "Hobby", "Sing"),
-        M.nested_value(person, "fields", "Skills", "Code"),
-    ).collect() == [("Dee", None, "2"), ("Eve", "6", None), (None, None, None)]
+    df = spark.range(5).select(F.when(F.col("id") != 3, outer).alias("o"))
+    rows = df.select(
+        M.nested_value(F.col("o"), "n"),
+        M.nested_value(F.col("o"), "mid", "deep", "x"),
+        M.nested_value(F.col("o"), "mid", "deep", "y"),
+    ).collect()
+    assert rows == [(n if n != 3 else None, str(n) if n not in (2, 3) else None, None) for n in range(5)]
 
 
 def test_translate_values(spark):
-    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "n int")
-    assert values(df.select(M.translate_values(F.col("n"), {1: "A", 2: "B"}).alias("x"))) == [
-        "A", "B", None, None,
-    ]
+    df = spark.range(4).select(F.nullif(F.col("id"), F.lit(3)).alias("n"))
+    letters = {n: chr(97 + n) for n in range(2)}
+    assert values(df.select(M.translate_values(F.col("n"), letters).alias("x"))) == ["a", "b", None, None]
     assert values(df.select(M.translate_values(F.col("n"), {}).alias("x"))) == [None] * 4
     with pytest.raises(ValueError, match="too many"):
         M.translate_values(F.col("n"), {i: "x" for i in range(100)})
 
 
-def test_map_values_small_and_large_dictionaries(spark):
-    df = spark.createDataFrame([(1,), (2,), (500,), (None,)], "n int")
-    small = K.map_values(df, "n", {1: "A", 2: "B"}, "x")
-    assert bag(small) == {(1, "A"): 1, (2, "B"): 1, (500, None): 1, (None, None): 1}
-    large = K.map_values(df, "n", {i: f"v{i}" for i in range(300)}, "x")
-    assert bag(large) == {(1, "v1"): 1, (2, "v2"): 1, (500, None): 1, (None, None): 1}
-    assert "BroadcastHashJoin" in plan(large) and "Join" not in plan(small)
-    numbers = K.map_values(df, "n", {1: 10}, "x", T.IntegerType())
-    assert values(numbers.where("n = 1"), "x") == [10]
+@pytest.mark.parametrize("make", [lambda n: n * n, lambda n: n / 2, lambda n: n if n % 2 else n / 4, str, lambda n: n % 2 == 0])
+def test_map_values_do_not_depend_on_the_size(spark, make):
+    df = spark.range(100).toDF("n")
+    found = {}
+    for size in (K.MAX_LITERAL_ENTRIES, K.MAX_LITERAL_ENTRIES + 1):
+        looked_up = K.map_values(df, "n", {n: make(n) for n in range(size)}, "x")
+        found[size] = looked_up.dtypes
+        assert bag(looked_up) == {(n, make(n) if n < size else None): 1 for n in range(100)}
+    assert len({tuple(x) for x in found.values()}) == 1
+
+
+def test_map_values_of_a_given_type(spark):
+    df = spark.range(3).toDF("n")
+    assert K.map_values(df, "n", {1: 10}, "x", T.ShortType()).dtypes[1] == ("x", "smallint")
+    many = K.map_values(df, "n", {i: i for i in range(300)}, "x", T.ShortType())
+    assert many.dtypes[1] == ("x", "smallint") and "BroadcastHashJoin" in plan(many)
+    with pytest.raises(TypeError, match="value_type"):
+        K.map_values(df, "n", {1: "a", 2: 3}, "x")
+
+
+def test_large_dictionaries_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(K, "measured_bytes", lambda df: 1 << 40)
+    shown = plan(K.map_values(spark.range(3).toDF("n"), "n", {i: i for i in range(100)}, "x"))
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown
+
+
+def test_repeated_keys_can_be_an_error(spark):
+    df, twice = spark.range(3).toDF("k"), spark.range(6).select((F.col("id") % 3).alias("k"), "id")
+    assert bag(K.map_values_from(df, "k", twice, "k", "id", "x")) == {(n, n + 3): 1 for n in range(3)}
+    with pytest.raises(ValueError, match="6 entries for 3 different keys"):
+        K.map_values_from(df, "k", twice, "k", "id", "x", on_repeated="fail")
 
 
 @pytest.fixture
@@ -131,16 +163,15 @@ def test_hot_keys_are_found_and_few(hot):
     assert K.hot_keys(hot, ["payload"], ["p"], share=0.5) is None
 
 
-def test_hot_rows_are_not_shuffled(spark, hot):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        table = spark.range(40).select(F.col("id").alias("k"), F.lit("x").alias("x"))
-        shown = plan(K.join_unique(hot, table, ["k"], max_broadcast_bytes=0))
-        # One branch for cold keys, shuffled; one for hot keys, broadcast.
-        assert shown.count("SortMergeJoin") == 1
-        assert "LeftAnti" in shown and "LeftSemi" in shown
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_hot_rows_are_not_shuffled(spark, hot, monkeypatch):
+    table = spark.range(40).select(F.col("id").alias("k"), F.lit("x").alias("x"))
+    shown = plan(K.join_unique(hot, table, ["k"], max_broadcast_bytes=0))
+    # One branch for cold keys, shuffled; one for hot keys, broadcast.
+    assert shown.count("SortMergeJoin") == 1
+    assert "LeftAnti" in shown and "LeftSemi" in shown
+    monkeypatch.setattr(K, "HOT_BYTES", 0)
+    shown = plan(K.join_unique(hot, table, ["k"], max_broadcast_bytes=0))
+    assert shown.count("SortMergeJoin") == 1 and "LeftAnti" not in shown
 
 
 def test_join_unique_null_safe_and_several_keys(spark):

@@ -1,120 +1,93 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators import names as N
 
 
 @pytest.fixture
-def food(spark):
-    schema = T.StructType(
-        [
-            T.StructField("like.of.soup", T.StringType(), True),
-            T.StructField("nice.bread", T.StringType(), False),
-        ]
-    )
-    return spark.createDataFrame([("ann", "a"), ("ben", "b"), (None, "c")], schema)
+def wide(spark):
+    """Column i holds i; names with a dot, a space, a back-quote and capitals."""
+    names = ["q.r.s", "plain", "two words", "t.u", "od`d", "Zed"]
+    return spark.range(3).select(*(F.lit(i).alias(n) for i, n in enumerate(names)))
 
 
-@pytest.fixture
-def shop(spark):
-    return spark.createDataFrame([("beans", "hey", "litre")], "tin string, hi string, fuel string")
-
-
-@pytest.fixture
-def consoles(spark):
-    rows = [("zoe", "birch", "deck"), ("yan", "larch", "cube")]
-    return spark.createDataFrame(rows, "name string, tree string, game string")
+def positions(df):
+    """What each column of the first row holds: where it was before."""
+    return list(df.first())
 
 
-def test_rename_all_keeps_rows_nullability_and_order(food):
-    renamed = N.rename_all(food, [c.replace(".", "_") for c in food.columns])
-    assert renamed.columns == ["like_of_soup", "nice_bread"]
-    assert [f.nullable for f in renamed.schema] == [True, False]
-    assert renamed.collect() == [("ann", "a"), ("ben", "b"), (None, "c")]
+def test_rename_all_keeps_position_rows_and_nullability(spark):
+    schema = T.StructType([T.StructField(f"c.{i}", T.LongType(), i % 2 == 0) for i in range(6)])
+    df = spark.createDataFrame([tuple(range(k, k + 6)) for k in range(4)], schema)
+    renamed = N.rename_all(df, [f"n{i}" for i in range(6)])
+    assert [f.nullable for f in renamed.schema] == [i % 2 == 0 for i in range(6)]
+    assert renamed.columns == [f"n{i}" for i in range(6)] and renamed.collect() == df.collect()
 
 
-def test_rename_all_wants_one_name_per_column(food):
-    with pytest.raises(ValueError, match="2 columns but 1 new names"):
-        N.rename_all(food, ["a"])
+def test_rename_all_wants_one_name_per_column(wide):
+    with pytest.raises(ValueError, match="6 columns but 1 new names"):
+        N.rename_all(wide, ["a"])
 
 
-@pytest.mark.parametrize("names", [["x", "x"], ["x", "X"]])
-def test_renaming_to_the_same_name_twice_is_an_error(food, names):
+@pytest.mark.parametrize("twin", ["n0", "N0"])
+def test_renaming_to_the_same_name_twice_is_an_error(wide, twin):
     with pytest.raises(ValueError, match="repeat column names"):
-        N.rename_all(food, names)
+        N.rename_all(wide, ["n0", twin, "n2", "n3", "n4", "n5"])
 
 
-def test_modify_column_names_first_dot_or_all(food):
-    assert N.modify_column_names(food, N.dots_to_underscores).columns == ["like_of.soup", "nice_bread"]
-    every = N.modify_column_names(food, lambda c: N.dots_to_underscores(c, count=None))
-    assert every.columns == ["like_of_soup", "nice_bread"]
+def test_modify_column_names_first_dot_or_all(wide):
+    assert N.modify_column_names(wide, N.dots_to_underscores).columns[0] == "q_r.s"
+    every = N.modify_column_names(wide, lambda c: N.dots_to_underscores(c, count=None))
+    assert every.columns == [c.replace(".", "_") for c in wide.columns]
+    assert positions(every) == list(range(6))
 
 
-def test_rename_where(shop):
-    american = {"tin": "can", "fuel": "gas"}
-    renamed = N.rename_where(shop, american.__getitem__, american.__contains__)
-    assert renamed.columns == ["can", "hi", "gas"]
-    assert renamed.collect() == [("beans", "hey", "litre")]
-
-
-def test_rename_where_only_dotted_names(spark):
-    df = spark.createDataFrame([("1", "a", "x", "9")], ["id", "name", "at.city", "at.pay"])
-    renamed = N.rename_where(df, lambda c: c.replace(".", "_"), lambda c: "." in c)
-    assert renamed.columns == ["id", "name", "at_city", "at_pay"]
+def test_rename_where_touches_no_other_column(wide):
+    renamed = N.rename_where(wide, str.upper, lambda c: "." in c)
+    assert renamed.columns == [c.upper() if "." in c else c for c in wide.columns]
+    assert positions(renamed) == list(range(6))
 
 
 def test_rename_columns_is_simultaneous(spark):
-    df = spark.createDataFrame([(1, 2), (3, 4)], ["x1", "x2"])
-    assert N.rename_columns(df, {"x1": "x3", "x2": "x4"}).columns == ["x3", "x4"]
-    swapped = N.rename_columns(df, {"x1": "x2", "x2": "x1"})
-    assert swapped.columns == ["x2", "x1"]
-    assert swapped.collect() == [(1, 2), (3, 4)]
-    assert N.rename_columns(df, {"x1": "x9", "x9": "x7"}).columns == ["x9", "x2"]
-    assert N.rename_columns(df, {"absent": "y"}).columns == ["x1", "x2"]
-
-
-def test_change_column_names_spells_spaces_and_dots(spark):
-    df = spark.createDataFrame([("a", "b", "c")], ["my last name", "one.tree.kind", "a game.box"])
-    assert N.change_column_names(df).columns == ["my_&last_&name", "one_$tree_$kind", "a_&game_$box"]
+    df = spark.range(1).select(*(F.lit(i).alias(f"v{i}") for i in range(4)))
+    ring = {f"v{i}": f"v{(i + 1) % 4}" for i in range(4)}
+    turned = N.rename_columns(df, ring)
+    assert turned.columns == ["v1", "v2", "v3", "v0"] and positions(turned) == [0, 1, 2, 3]
+    chain = N.rename_columns(df, {"v0": "w", "w": "x", "nowhere": "y"})
+    assert chain.columns == ["w", "v1", "v2", "v3"]
 
 
-@pytest.mark.parametrize(
-    "order, expected", [("asc", ["game", "name", "tree"]), ("desc", ["tree", "name", "game"])]
-)
-def test_sort_columns(consoles, order, expected):
-    ordered = N.sort_columns(consoles, order)
-    assert ordered.columns == expected
-    assert ordered.select("name", "tree", "game").collect() == consoles.collect()
+def test_change_column_names_spells_spaces_and_dots(wide):
+    spelled = [c.replace(" ", N.SPACE_SPELLING).replace(".", N.DOT_SPELLING) for c in wide.columns]
+    changed = N.change_column_names(wide)
+    assert changed.columns == spelled and positions(changed) == list(range(6))
 
 
-def test_sort_columns_with_dots(food):
-    assert N.sort_columns(food, "desc").columns == ["nice.bread", "like.of.soup"]
+@pytest.mark.parametrize("order", ["asc", "desc"])
+def test_sort_columns(wide, order):
+    ordered = N.sort_columns(wide, order)
+    assert ordered.columns == sorted(wide.columns, reverse=order == "desc")
+    assert positions(ordered) == [wide.columns.index(c) for c in ordered.columns]
 
 
-def test_sort_columns_rejects_another_order(consoles):
+def test_sort_columns_rejects_another_order(wide):
     with pytest.raises(ValueError, match="asc.*desc.*'up'"):
-        N.sort_columns(consoles, "up")
+        N.sort_columns(wide, "up")
 
 
-def test_quote_name_doubles_back_quotes(spark):
-    df = spark.createDataFrame([(1,)], ["odd`na.me"])
-    assert df.select(N.named("odd`na.me")).collect() == [(1,)]
+def test_quote_name_doubles_back_quotes(wide):
+    assert wide.select(*map(N.named, wide.columns)).first() == wide.first()
 
 
 def test_metadata_survives_parquet_and_renames(spark, tmp_path):
-    df = spark.createDataFrame([("ann", "peru"), ("ben", "chile")], "who string, country string")
-    marked = N.with_column_metadata(df, "country", {"model_version": 3})
-    path = str(tmp_path / "people")
-    marked.write.parquet(path)
+    path = str(tmp_path / "marked")
+    N.with_column_metadata(spark.range(2).toDF("k").withColumn("m", F.lit(1)), "m", {"unit": "kg"}).write.parquet(path)
     read = spark.read.parquet(path)
-    assert N.column_metadata(read, "country") == {"model_version": 3}
-    assert N.column_metadata(read, "who") == {}
-    assert N.column_metadata(N.rename_columns(read, {"country": "land"}), "land") == {"model_version": 3}
+    assert (N.column_metadata(read, "m"), N.column_metadata(read, "k")) == ({"unit": "kg"}, {})
+    assert N.column_metadata(N.rename_columns(read, {"m": "mass"}), "mass") == {"unit": "kg"}
 
 
-def test_transform_chain(spark):
-    df = spark.createDataFrame([(1, 2)], ["b.c", "a"])
-    chained = df.transform(lambda d: N.modify_column_names(d, N.dots_to_underscores)).transform(
-        N.sort_columns
-    )
-    assert chained.columns == ["a", "b_c"]
+def test_transform_chain(wide):
+    chained = wide.transform(lambda d: N.modify_column_names(d, lambda c: c[::-1])).transform(N.sort_columns)
+    assert chained.columns == sorted(c[::-1] for c in wide.columns)

@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -57,25 +58,42 @@ def test_ranks_are_limited_before_the_shuffle(spark):
     assert shown.count("Exchange hashpartitioning") == 1
 
 
-def test_rank_top_k_needs_groups(spark):
-    with pytest.raises(ValueError, match="grouping column"):
-        W.rank_top_k(spark.range(3), [], "id", 1)
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_of_all_rows(spark, descending):
+    df = spark.range(90).select("id", F.nullif(F.col("id") % 9, F.lit(4)).alias("x"))
+    rows = [("all", r.x) for r in df.collect()]
+    wanted = Counter({(x, rank): n for (_, x, rank), n in brute_ranks(rows, 15, descending).items()})
+    for bound in (64 << 20, 0):
+        ranked = W.rank_top_k(df, [], "x", 15, descending, max_broadcast_bytes=bound)
+        assert bag(ranked.select("x", "rank")) == wanted
+    shown = plan(W.best_ranks(df, [], "x", 15, descending, "rank"))
+    assert "TakeOrderedAndProject" in shown
 
 
 def test_unseeded_sample_has_its_size(spark):
-    df = spark.createDataFrame([(123,), (245,), (12,), (234,)], "id int")
-    ids = values(W.sample_top_k(df, 3))
-    assert len(ids) == len(set(ids)) == 3
+    df = spark.range(40)
+    ids = values(W.sample_top_k(df, 13))
+    assert len(ids) == len(set(ids)) == 13
+    copies = df.select(F.lit(1).alias("x"))
+    assert W.sample_top_k(copies, 7).count() == 7 and W.sample_top_k(copies, 100).count() == 40
 
 
 def test_seeded_sample_does_not_depend_on_partitions(spark):
     df = spark.range(2000)
-    first = values(W.sample_top_k(df, 50, ["id"], 42))
-    assert first == values(W.sample_top_k(df.repartition(7, "id"), 50, ["id"], 42))
-    assert first != values(W.sample_top_k(df, 50, ["id"], 43))
+    first = bag(W.sample_top_k(df, 50, ["id"], 42))
+    assert first == bag(W.sample_top_k(df.repartition(7, "id"), 50, ["id"], 42))
+    assert first != bag(W.sample_top_k(df, 50, ["id"], 43))
     assert "TakeOrderedAndProject" in plan(W.sample_top_k(df, 50, ["id"], 42))
 
 
+def test_a_large_sample_is_not_merged_in_one_task(spark):
+    df = spark.range(30_000)
+    for seed in (1, None):
+        sample = W.sample_top_k(df, 20_000, ["id"], seed)
+        large = [int(n) for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan(sample))]
+        assert sample.count() == 20_000 and all(n < 1000 for n in large)
+
+
 @pytest.mark.parametrize("k", [0, 1, 200, 999, 1999, 2000, 5000])
 @pytest.mark.parametrize("prefixes", [1, 1 << 16])
 def test_large_samples_are_the_same_rows(spark, monkeypatch, k, prefixes):
@@ -97,4 +115,4 @@ def test_large_sample_with_many_copies_of_a_key(spark, seed):
 
 def test_a_sample_needs_a_key(spark):
     with pytest.raises(ValueError, match="unique key"):
-        W.sample_without_replacement(spark.range(3), 1, [], 1)
+        W.sample_top_k(spark.range(3), 1, [], 1)
