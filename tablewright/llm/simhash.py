@@ -29,6 +29,8 @@ SEED = 42
 SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS = 4, 10, 50
 #: Words compared at once in one group; a key with more is dealt out in pairs of blocks of about this size.
 BLOCK = 2048
+#: Text compared at once in one family; a larger one is dealt out in pairs of blocks of about this size.
+BLOCK_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -264,14 +266,72 @@ def similarity(a: bytes, b: bytes, shingle: int) -> float:
     return len(left & right) / len(left | right)
 
 
+def _similar(sets: list[np.ndarray], block: np.ndarray, low: int, high: int, least: float) -> Iterator[tuple[int, int]]:
+    """Pairs of sets of a similarity of ``least`` or more that connect all that such pairs connect.
+
+    Both sets are in block ``low`` if that is ``high``, else one is in each. A pair already connected is not compared.
+    """
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    sizes = np.array([len(x) for x in sets])
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+    marked = np.zeros(len(ids), bool)
+    tree = np.arange(len(sets))
+    for i in np.flatnonzero(block == low):
+        while (tree != tree[tree]).any():
+            tree[:] = tree[tree]
+        apart = (block == high) & (tree != tree[i]) & (np.minimum(sizes, sizes[i]) >= least * np.maximum(sizes, sizes[i]) - 1e-6)
+        if low == high:
+            apart[: i + 1] = False
+        marked[parts[i]] = True
+        for j in np.flatnonzero(apart):
+            shared = int(np.count_nonzero(marked[parts[j]]))
+            either = int(sizes[i]) + int(sizes[j]) - shared
+            if (shared / either if either else 1.0) >= least:
+                x, y = i, j
+                while tree[x] != x:
+                    x = tree[x]
+                while tree[y] != y:
+                    y = tree[y]
+                if x != y:
+                    tree[max(x, y)] = min(x, y)
+                    yield i, j
+        marked[parts[i]] = False
+
+
+def alike(texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Edges ``a``, ``b`` that connect what is similar within each family of ``texts`` (``family``, ``node``, ``text``).
+
+    All pairs of a family are compared by their distinct shingles, in blocks of bounded size; only pairs found similar
+    thin out the edges.
+    """
+    sizes = texts.groupBy("family").agg(F.sum(F.length("text") + 64).alias("size"))
+    dealt = (
+        texts.join(sizes, "family")
+        .withColumn("blocks", F.ceil(F.col("size") / BLOCK_BYTES).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text")
+    )
+
+    def compared(group: pa.Table) -> pa.Table:
+        node, block = group.column("node").to_pylist(), group.column("block").to_numpy()
+        low, high = (group.column(c)[0].as_py() for c in ("low", "high"))
+        sets = [np.unique(shingle_hashes(x.as_py(), shingle)) for x in group.column("text")]
+        found = [(node[i], node[j]) for i, j in _similar(sets, block, low, high, least)]
+        left, right = zip(*found, strict=True) if found else ((), ())
+        return pa.table([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+
+    return dealt.groupBy("family", "low", "high").applyInArrow(compared, "a binary, b binary")
+
+
 def one_of_each_group(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8
 ) -> DataFrame:
     """One row of ``docs``, with all its columns, of each group of near-duplicates: that with the smallest id.
 
     Rows are linked whose word shingles have a similarity of ``least`` or more (candidates: fingerprints of 256 bits
-    of which a 16-bit part differs in one bit at most) or whose fingerprints are the same; groups are what links
-    reach. NULL and empty texts, and those of white space alone, are copies of one another. Of rows with the same id
+    of which a 16-bit part differs in one bit at most; all pairs among what candidates connect are compared) or whose
+    fingerprints are the same; groups are what links reach. NULL and empty texts, and those of white space alone, are copies of one another. Of rows with the same id
     and text any one stays; a NULL id counts as the largest. No rows give no rows.
     """
     text = utf8(F.col(text_col))
@@ -279,22 +339,13 @@ def one_of_each_group(
     keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest")).alias("_key"), F.col(text_col).alias("_text"))
     prints = fingerprints(keyed, "_key", "_text", shingle, SIMILAR_WORDS)
     nodes = written(prints.groupBy("words", "node").agg(F.min("_id").alias("_first")), "nodes")
-    candidates = written(links(nodes, WORD_RING, SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS), "candidates")
-    ends = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
-    involved = nodes.join(ends, "node").select("node", F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
+    candidates = links(nodes, WORD_RING, SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS)
+    families = connected_components(candidates).select("node", F.col("label").alias("family"))
+    involved = nodes.join(families, "node").select("family", "node", F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
     own = docs.select(F.col(id_col).alias("_own"), text.alias("text"), digest.alias("_own_digest"))
     same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
-    texts = own.join(involved, same).select("node", "text").groupBy("node").agg(F.any_value("text").alias("text"))
-    texts = written(texts, "candidate-texts")
-    pairs = candidates.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True)
-            yield batch.select(["a", "b"]).filter(pa.array([similarity(x, y, shingle) >= least for x, y in pairs], pa.bool_()))
-
-    edges = pairs.select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary")
+    texts = own.join(involved, same).groupBy("family", "node").agg(F.any_value("text").alias("text"))
+    edges = alike(written(texts, "candidate-texts"), shingle, least)
     groups = _grouped(nodes, edges).select("component_id").distinct()
     kept = groups.select(F.col("component_id.id").alias("_id"), F.col("component_id.digest").alias("_digest"))
     marked = docs.withColumn("_own_digest", digest)

@@ -1,5 +1,6 @@
 """Stages against plain versions on small tables, and as a whole."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -91,3 +92,26 @@ def test_stages(stages):
 def test_run_is_its_stages(spark, stages):
     pieces = {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     assert pieces == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in stages[-1][1].collect()}
+
+
+def shuffled_words(seed, count):
+    return [f"w{x}" for x in np.random.default_rng(seed).integers(0, 1 << 40, count)]
+
+
+def family(pages, copies):
+    """Pages that share most shingles (0.77 between pages), some with a copy at about 0.98."""
+    base, found = shuffled_words(0, 600), []
+    for k in range(pages):
+        page = base + shuffled_words(1000 + k, 90)
+        found += [page, page[:-8] + shuffled_words(5000 + k, 8)] if k < copies else [page]
+    return [(n, " ".join(x)) for n, x in enumerate(found)]
+
+
+@pytest.mark.parametrize("size", [8 << 20, 100_000])
+def test_copies_within_a_family_of_similar_pages(spark, monkeypatch, size):
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", size, raising=False)
+    rows = family(150, 75)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r.doc_id is None, r.doc_id) for r in simhash.one_of_each_group(docs).collect())
+    assert found == plain_survivors(rows)
+    assert len(found) == 150
