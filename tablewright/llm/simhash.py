@@ -10,6 +10,7 @@ longer chains, then against the Hamming distance.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -118,6 +119,28 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, turn
     )
 
 
+def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, turns: int) -> DataFrame:
+    """``_id``, ``node`` (a digest of the distinct shingles), their ``words`` and, the same as bytes, ``print``."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (np.unique(shingle_hashes(text, shingle)) for _, text in rows([batch]))
+            found = [(hashlib.sha256(x.tobytes()).digest(), simhash(x, turns)) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([digest for digest, _ in found], pa.binary()),
+                    pa.array([words for _, words in found], pa.list_(pa.int64())),
+                    pa.array([np.array(words).tobytes() for _, words in found], pa.binary()),
+                ],
+                ["_id", "node", "words", "print"],
+            )
+
+    return docs.select(F.col(id_col).alias("_id"), utf8(F.col(text_col)).alias("_text")).mapInArrow(
+        hashed, f"_id {id_type(docs, id_col)}, node binary, words array<long>, print binary"
+    )
+
+
 def ring_keys(word: Column, ring: Ring, tag: int) -> list[Column]:
     """The keys of a word (a long of which ``ring.bits`` are used), told apart by ``tag`` and by their place."""
     full = (1 << ring.bits) - 1
@@ -329,19 +352,23 @@ def one_of_each_group(
 ) -> DataFrame:
     """One row of ``docs``, with all its columns, of each group of near-duplicates: that with the smallest id.
 
-    Rows are linked whose word shingles have a similarity of ``least`` or more (candidates: fingerprints of 256 bits
-    of which a 16-bit part differs in one bit at most; all pairs among what candidates connect are compared) or whose
-    fingerprints are the same; groups are what links reach. NULL and empty texts, and those of white space alone, are copies of one another. Of rows with the same id
+    Rows are linked whose distinct word shingles have a similarity of ``least`` or more; groups are what links reach.
+    Rows with the same set of shingles are one node. Candidates are those with the same fingerprint of that set, 256
+    bits, or of which a 16-bit part differs in one bit at most; all pairs among what candidates connect are compared.
+    NULL and empty texts, and those of white space alone, are copies of one another. Of rows with the same id
     and text any one stays; a NULL id counts as the largest. No rows give no rows.
     """
     text = utf8(F.col(text_col))
     digest = F.sha2(text, 256)
     keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest")).alias("_key"), F.col(text_col).alias("_text"))
-    prints = fingerprints(keyed, "_key", "_text", shingle, SIMILAR_WORDS)
-    nodes = written(prints.groupBy("words", "node").agg(F.min("_id").alias("_first")), "nodes")
-    candidates = links(nodes, WORD_RING, SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS)
-    families = connected_components(candidates).select("node", F.col("label").alias("family"))
-    involved = nodes.join(families, "node").select("family", "node", F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
+    prints = set_fingerprints(keyed, "_key", "_text", shingle, SIMILAR_WORDS)
+    nodes = written(prints.groupBy("words", "print", "node").agg(F.min("_id").alias("_first")), "nodes")
+    classes = nodes.groupBy("words", "print").agg(F.count("*").alias("n"))
+    candidates = links(classes.select("words"), WORD_RING, SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS)
+    labels = connected_components(candidates).withColumnRenamed("node", "print")
+    families = classes.join(labels, "print", "left").where("n > 1 or label is not null")
+    families = families.select("print", F.coalesce("label", "print").alias("family"))
+    involved = nodes.join(families, "print").select("family", "node", F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
     own = docs.select(F.col(id_col).alias("_own"), text.alias("text"), digest.alias("_own_digest"))
     same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
     texts = own.join(involved, same).groupBy("family", "node").agg(F.any_value("text").alias("text"))

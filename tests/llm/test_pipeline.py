@@ -115,3 +115,20 @@ def test_copies_within_a_family_of_similar_pages(spark, monkeypatch, size):
     found = sorted((r.doc_id is None, r.doc_id) for r in simhash.one_of_each_group(docs).collect())
     assert found == plain_survivors(rows)
     assert len(found) == 150
+
+
+def test_equal_fingerprints_are_compared(spark):
+    """One shingle outweighs the others of these texts, and fixes all bits if its repeats count."""
+    rows = [(k, " ".join(["0"] * 400 + shuffled_words(k, 300))) for k in range(4)]
+    # Repeats beside few other shingles do not set texts apart.
+    rows += [(10, "a b c d e f g h " + "foot of page one " * 2), (11, "a b c d e f g h " + "foot of page one " * 25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each_group(docs).collect()) == [0, 1, 2, 3, 10]
+
+
+def test_different_texts_of_one_fingerprint(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "simhash", lambda hashes, turns=1: [5] * turns)
+    rows = family(4, 2) + [(90, None), (91, ""), (92, "a word")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = sorted((r.doc_id is None, r.doc_id) for r in simhash.one_of_each_group(docs).collect())
+    assert found == plain_survivors(rows)
