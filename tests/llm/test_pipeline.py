@@ -132,3 +132,15 @@ def test_different_texts_of_one_fingerprint(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     found = sorted((r.doc_id is None, r.doc_id) for r in simhash.one_of_each_group(docs).collect())
     assert found == plain_survivors(rows)
+
+
+def test_pairs_at_the_least_similarity_are_found(spark):
+    """Ten parts and 50 bits miss one pair in twenty; all parts one in two hundred."""
+    rows = []
+    for k in range(600):
+        page = shuffled_words(k, 204)
+        # 178 of 200 shingles on either side: 178 / 222, just above 0.8.
+        rows += [(2 * k, " ".join(page)), (2 * k + 1, " ".join(page[:-22] + shuffled_words(10_000 + k, 22)))]
+    assert all(simhash.similarity(x.encode(), y.encode(), 5) >= 0.8 for (_, x), (_, y) in zip(rows[::2], rows[1::2], strict=True))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert len(simhash.one_of_each_group(docs).collect()) - 600 <= 10
