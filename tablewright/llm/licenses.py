@@ -83,15 +83,19 @@ class NoticeSearch:
         return found
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(start, end, notice, edits) of each match, leftmost and non-overlapping per notice."""
+        """(start, end, notice, edits) of each match: per notice and stretch the best, then those before and after it."""
         found = []
         for number, stretches in self.windows(text).items():
-            for start, end in stretches:
-                for match in self.patterns[number].finditer(text, start, end):
+            least = len(self.notices[number][0]) - self.edits[number]
+            left = list(stretches)
+            while left:
+                start, end = left.pop()
+                match = self.patterns[number].search(text, start, end) if end - start >= least else None
+                if match:
                     found.append((match.start(), match.end(), number, sum(match.fuzzy_counts)))
+                    left += [(start, match.start()), (match.end(), end)]
         return sorted(found)
 
-
     def closest(self, text: str) -> list[tuple[int, int, int, int]]:
         """Of matches that overlap, those with the smallest share of edits, and then the longest."""
         ranked = sorted(self.matches(text), key=lambda m: (m[3] / len(self.notices[m[2]][0]), m[0] - m[1], m))

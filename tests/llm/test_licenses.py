@@ -83,3 +83,12 @@ def test_seeds_lose_no_match(seed):
     whole = search.patterns[number].search(text)
     assert whole is not None
     assert any(n == number for _, _, n, _ in search.matches(text))
+
+
+def test_worse_notice_before_a_better_one():
+    text = " licensed unter the apache licence version 2 licensed under the apache license version 2 "
+    search = licenses.NoticeSearch({"licensed under the apache license version 2": "apache-2"})
+    assert [(text[start:end].strip(), edits) for start, end, _, edits in search.matches(text)] == [
+        ("licensed unter the apache licence version 2", 2),
+        ("licensed under the apache license version 2", 0),
+    ]
