@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.anchors import vector_codes
 from tablewright.llm.byte_bpe import encode_decode
 from tablewright.llm.common import id_remainder
+from tablewright.llm.hypervectors import held_out_languages
 from tablewright.llm.licenses import scan_licenses
 from tablewright.llm.mixing_lm import score_texts
 from tablewright.llm.mtree import top_k
@@ -20,6 +22,7 @@ from tablewright.llm.secrets import STRONG, find_secrets
 from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.token_counts import count_tokens
 from tablewright.llm.toxicity import THRESHOLD, score_toxicity
+from tablewright.llm.whitening import whiten
 
 TOKEN_LIMIT = 2048
 
@@ -108,6 +111,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -119,8 +134,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_language_id": op13_language_id,
 }
 
+
 def _sql_pattern(pattern: str) -> str:
     """A pattern as a SQL literal; its letters in either case are written out, as (?i) would fold others, too."""
     folded, pattern = pattern.startswith("(?i)"), pattern.removeprefix("(?i)")
@@ -198,4 +217,45 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-SQL: dict[str, str] = {"op1_secret_scans": SECRETS_SQL, "op7_exact_top_k": TOP_K_SQL}
+
+
+def _round_sql(k: int) -> str:
+    """Round ``k``: the nearest entry of every part, and the codebook that follows from the parts."""
+    return f"""
+near{k} AS (
+  SELECT rid, part, arg_min(entry, (error, entry)) AS entry, min(error) AS error
+  FROM (SELECT rid, part, entry, sum((x - c) * (x - c)) AS error FROM cells JOIN book{k} USING (part, place) GROUP BY ALL)
+  GROUP BY ALL),
+means{k} AS (
+  SELECT part, entry, place, CAST(floor(sum(x) / count(*)) AS BIGINT) AS c
+  FROM near{k} JOIN cells USING (rid, part) GROUP BY ALL),
+book{k + 1} AS (
+  SELECT b.part, b.entry, b.place, coalesce(m.c, b.c) AS c
+  FROM book{k} b LEFT JOIN means{k} m USING (part, entry, place))"""
+
+
+#: Every part against every entry, where the operator asks balls.
+VECTOR_CODES_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS (
+  SELECT rid, d // (len(v) // 16) AS part, d % (len(v) // 16) AS place, v[d + 1] AS x
+  FROM (SELECT rid, v, unnest(range(len(v))) AS d FROM kept)),
+seeds AS (SELECT rid, row_number() OVER (ORDER BY vec_id, v) - 1 AS entry FROM kept ORDER BY vec_id, v LIMIT 64),
+book0 AS (SELECT part, entry, place, x AS c FROM cells JOIN seeds USING (rid)),{_round_sql(0)},{_round_sql(1)},{_round_sql(2)},
+digest AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book2),
+codes AS (
+  SELECT rid, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error
+  FROM near2 GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (rid) CROSS JOIN digest
+"""
+
+SQL: dict[str, str] = {
+    "op1_secret_scans": SECRETS_SQL,
+    "op7_exact_top_k": TOP_K_SQL,
+    "op12_vector_codes": VECTOR_CODES_SQL,
+}
