@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.catalogue.registry import query, table, table_path
 from tablewright.operators.aggregates import group_count
 from tablewright.operators.words import words_of
+from tablewright.sources import published as P
 from tablewright.sources import readers as R
 from tablewright.sources import writers as X
 from tablewright.sources.scratch import scratch_path
@@ -132,6 +133,58 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.extract(spark, path)
 
 
+@query("sink_replaced_by_itself", "SELECT * FROM orders WHERE o_orderstatus <> 'P'")
+def replaced_by_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What is overwritten is read to make the new rows.
+    path = scratch_path(spark, "orders-replaced")
+    X.load_parquet(table(spark, sf_dir, "orders"), path)
+    X.load_parquet(R.extract(spark, path).where(F.col("o_orderstatus") != "P"), path)
+    return R.extract(spark, path)
+
+
+@query(
+    "sink_versions",
+    """
+    SELECT 1 AS version, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders
+    UNION ALL
+    SELECT 2, count(*), CAST(sum(o_custkey) AS BIGINT) FROM orders WHERE o_orderstatus = 'F'
+    """,
+)
+def committed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders-versions")
+    P.publish(table(spark, sf_dir, "orders"), path)
+    P.publish(P.published(spark, path).where(F.col("o_orderstatus") == "F"), path, "csv")
+
+    def summary(number: int | None) -> DataFrame:
+        return P.published(spark, path, number).agg(
+            F.lit(number or 2).alias("version"),
+            F.count(F.lit(1)).alias("orders"),
+            F.sum("o_custkey").alias("customers"),
+        )
+
+    return summary(1).unionByName(summary(None))
+
+
+@query(
+    "sink_partition_overwrite",
+    """
+    SELECT o_orderkey, o_orderpriority, o_orderstatus,
+           CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority < '3'
+    """,
+)
+def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One partition is written anew, with fewer rows and other prices; the others stay.
+    path = scratch_path(spark, "orders-by-status")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    X.load_partitioned(orders, path, "o_orderstatus")
+    urgent = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") < "3")
+    X.load_partitioned(
+        orders.where(urgent).withColumn("o_totalprice", F.lit(0.0)), path, "o_orderstatus", mode="overwrite_partitions"
+    )
+    return R.extract(spark, path)
+
+
 @query("sink_parquet_partitioned", "SELECT * FROM orders")
 def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.extract(spark, partitioned_orders(spark, sf_dir))

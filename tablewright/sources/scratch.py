@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.sources.folders import Folders
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or the one the context was given.
@@ -31,6 +33,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has set aside; for its end, when no DataFrame reads it any more."""
+    folder = f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}"
+    Folders(spark, folder).remove(folder)
+
+
 def set_aside(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once, and go on from the table.
 
