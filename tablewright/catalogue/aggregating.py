@@ -239,3 +239,19 @@ def list_tied_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select(
         "l_returnflag", "start", F.posexplode("l_quantity").alias("at", "l_quantity")
     ).select("l_returnflag", "l_quantity", (F.col("start") + F.col("at")).alias("position"))
+
+
+@query(
+    "agg_list_one_value",
+    """
+    SELECT value, row_number() OVER (ORDER BY value) - 1 AS position
+    FROM (SELECT CASE WHEN l_orderkey % 10 = 0 THEN l_returnflag || l_linenumber ELSE 'usual' END AS value FROM lineitem)
+    """,
+)
+def list_one_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Nine rows in ten are equal in everything: they are counted, not shuffled, and listed by all tasks.
+    value = F.when(F.col("l_orderkey") % 10 == 0, F.concat("l_returnflag", "l_linenumber")).otherwise("usual")
+    lists = L.column_to_list(table(spark, sf_dir, "lineitem").select(value.alias("value")), "value", "value", chunk_size=LIST_CHUNK)
+    return lists.select("start", F.posexplode("value").alias("at", "value")).select(
+        "value", (F.col("start") + F.col("at")).alias("position")
+    )

@@ -120,8 +120,11 @@ def dataframe_diff_approx(
     row of which one side has more copies is a row of kind ``repeated_key``, under the side
     that has more, with the copies in ``left_rows`` and ``right_rows``.  NULL keys are equal.
 
-    A first pass over fixed-width rows (counts and a 64-bit hash of the values per key, added
-    up before the shuffle) finds the keys with any difference; only their rows are shuffled.
+    A first pass over fixed-width rows finds the keys with any difference, and only their rows
+    are shuffled.  Per key it adds up, before the shuffle, counts, a 64-bit hash of what has to
+    be the same, and the difference of every number that may be a little off: where each side
+    has one row, that is their difference, and values that have moved
+    by less than ``precision`` are done with.
     """
     require_same_schema(left, right)
     values = [f for f in left.schema if f.name not in key]
@@ -139,13 +142,33 @@ def dataframe_diff_approx(
         return reduce(DataFrame.unionByName, parts)
 
     counts = [F.count_if(of(side)).alias(f"{side}_rows") for side, _ in sides]
-    hashed = tagged(F.xxhash64(F.lit(0), *(named(f.name) for f in values)).alias("__hash"))
-    differing = set_aside(
-        hashed.groupBy(*keys)
-        .agg(*counts, F.min("__hash").alias("__low"), F.max("__hash").alias("__high"))
-        .where("not (left_rows = 1 and right_rows = 1 and __low = __high)")
-        .drop("__low", "__high")
+    near = {f"__near_{i}": f for i, f in enumerate(values) if _may_be_off(f, precision)}
+    exact = [named(f.name) for f in values if f not in near.values()]
+    marks = [_mark(f) for f in near.values()]
+    hashed = tagged(
+        F.xxhash64(F.lit(0), *exact, *marks).alias("__hash"), *(_number(f).alias(n) for n, f in near.items())
     )
+
+    def apart(name: str) -> Column:
+        if isinstance(near[name].dataType, EXACT_TYPES):
+            # The longest decimals have no negative of their length.
+            left, right = (F.max(F.when(of(side), F.col(name))) for side, _ in sides)
+            return F.abs(F.try_subtract(left, right))
+        return F.abs(F.sum(F.when(of("left"), F.col(name)).otherwise(-F.col(name))))
+
+    profiles = hashed.groupBy(*keys).agg(
+        *counts,
+        F.min("__hash").alias("__low"),
+        F.max("__hash").alias("__high"),
+        *(apart(n).alias(n) for n in near),
+    )
+    alike = reduce(
+        lambda a, b: a & b,
+        # A difference that cannot be told is one.
+        (F.coalesce(F.col(n) <= _limit(f, precision), F.lit(False)) for n, f in near.items()),
+        (F.col("left_rows") == 1) & (F.col("right_rows") == 1) & (F.col("__low") == F.col("__high")),
+    )
+    differing = set_aside(profiles.where(~alike).select(*keys, "left_rows", "right_rows"))
     single = (F.col("left_rows") <= 1) & (F.col("right_rows") <= 1)
     rows = tagged(F.struct(*(named(f.name) for f in values)).alias("__row"))
     rows = join_unique(rows, differing, keys, "inner", null_safe=True)
@@ -191,6 +214,39 @@ def dataframe_diff_approx(
     return found.withColumnsRenamed(dict(zip(keys, key)))
 
 
+def _limit(field: T.StructField, precision: float) -> Column:
+    """The greatest difference that is none, as :func:`about_equal` has it."""
+    if isinstance(field.dataType, EXACT_TYPES):
+        unit = Decimal(1).scaleb(-_scale(field.dataType))
+        return F.lit(Decimal(repr(float(precision))).quantize(unit, ROUND_FLOOR))
+    return F.lit(float(precision))
+
+
+def _may_be_off(field: T.StructField, precision: float) -> bool:
+    """Whether two different values of the field can be within the tolerance."""
+    if isinstance(field.dataType, EXACT_TYPES):
+        return Decimal(repr(float(precision))) >= Decimal(1).scaleb(-_scale(field.dataType))
+    return isinstance(field.dataType, T.NumericType)
+
+
+def _number(field: T.StructField) -> Column:
+    """The value as a number to subtract; 0 for what :func:`_mark` tells apart."""
+    if isinstance(field.dataType, EXACT_TYPES):
+        kind = T.DecimalType(38, _scale(field.dataType))
+        return F.coalesce(named(field.name).try_cast(kind), F.lit(0).cast(kind))
+    number = named(field.name).cast("double")
+    return F.when(F.abs(number) < float("inf"), number).otherwise(0.0)
+
+
+def _mark(field: T.StructField) -> Column:
+    """NULL, NaN and infinities, which are equal to themselves alone, and numbers too long for a decimal."""
+    value = named(field.name)
+    if isinstance(field.dataType, EXACT_TYPES):
+        return F.when(value.try_cast(T.DecimalType(38, _scale(field.dataType))).isNull(), F.coalesce(value.cast("string"), F.lit("")))
+    number = value.cast("double")
+    return F.when(F.abs(number) < float("inf"), "number").otherwise(F.coalesce(number.cast("string"), F.lit("")))
+
+
 def _field_equal(field: T.StructField, precision: float) -> Column:
     a, b = F.col("left").getField(field.name), F.col("right").getField(field.name)
     if isinstance(field.dataType, T.NumericType):

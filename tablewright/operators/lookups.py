@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.maps import MAX_LITERAL_ENTRIES, translate_values, value_type_of
+from tablewright.operators.heavy import frequent_hashes, partition_share
 from tablewright.operators.names import named
 
 BROADCAST_BYTES = 64 << 20
@@ -21,8 +21,6 @@ ROW_OVERHEAD_BYTES = 64
 HOT_SHARE = 1 / 500
 # Table rows of hot keys are broadcast up to this size.
 HOT_BYTES = 64 << 20
-# Enough rows to see a share of that size: a hot key has some 2,000 of them.
-HOT_SAMPLE_ROWS = 1_000_000
 
 
 def _width(df: DataFrame) -> Column:
@@ -79,7 +77,9 @@ def join_unique(
     measured to be small.  No row of a hot key is shuffled then, and none is dropped.
     ``null_safe`` lets NULL keys match NULL keys.
 
-    ``df`` is read up to four times; ``checkpoint()`` it first if it is dear to compute.
+    Hot keys are found by their hashes, in one pass over the keys of ``df`` alone, and rows are
+    told apart by these: a row that is taken for hot by its hash is joined all the same.  ``df``
+    is read three times then, once without; ``checkpoint()`` it first if it is dear to compute.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -100,53 +100,22 @@ def join_unique(
     if table_bytes <= max_broadcast_bytes:
         return joined(df, F.broadcast(table))
 
-    if hot_share is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hot_share = min(HOT_SHARE, 1 / (2 * partitions))
-    hot = hot_keys(df, on, keys, hot_share)
-    if hot is None:
-        return joined(df, table.hint("merge"))
-
-    def part_of(rows: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-        return rows.join(F.broadcast(hot), _matches(rows, hot, columns, keys, True), kind)
-
-    hot_rows, cold_rows = part_of(df, on, "left_semi"), part_of(df, on, "left_anti")
-    hot_entries = table.alias("entries").join(
-        F.broadcast(hot.toDF(*(f"{k}_hot" for k in keys))),
-        reduce(lambda a, b: a & b, (F.col(f"entries.{k}").eqNullSafe(F.col(f"{k}_hot")) for k in keys)),
-        "left_semi",
-    )
+    by_merge = joined(df, table.hint("merge"))
+    # Only values of one type have one hash.
+    if any(df.schema[c].dataType != table.schema[k].dataType for c, k in zip(on, keys)):
+        return by_merge
+    hashed = F.xxhash64(*(named(c) for c in on))
+    hot = frequent_hashes(df, hashed, hot_share or partition_share(df.sparkSession, HOT_SHARE))
+    if not hot:
+        return by_merge
+    hot_entries = table.where(F.xxhash64(*keys).isin(hot))
     if measured_bytes(hot_entries) > max(max_broadcast_bytes, HOT_BYTES):
-        return joined(df, table.hint("merge"))
-    return joined(hot_rows, F.broadcast(hot_entries)).unionByName(
-        joined(cold_rows, table.hint("merge"))
+        return by_merge
+    return joined(df.where(hashed.isin(hot)), F.broadcast(hot_entries)).unionByName(
+        joined(df.where(~hashed.isin(hot)), table.hint("merge"))
     )
 
 
-def hot_keys(
-    df: DataFrame,
-    on: Sequence[str],
-    names: Sequence[str],
-    share: float = HOT_SHARE,
-    sample_rows: int | None = None,
-) -> DataFrame | None:
-    """The keys with more than ``share`` of all rows, as a local table; None if there are none.
-
-    Of a large table a sample is counted, which decides only by which way a row is joined:
-    whatever it misses is joined all the same.
-    """
-    total = df.count()
-    sample_rows = sample_rows or math.ceil(HOT_SAMPLE_ROWS * HOT_SHARE / share)
-    fraction = min(1.0, sample_rows / max(total, 1))
-    keys = df.select(*(named(c).alias(k) for c, k in zip(on, names)))
-    counted = keys.sample(fraction, seed=0) if fraction < 1 else keys
-    counts = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"))
-    # About 1 / share rows at most reach the driver.
-    found = counts.where(F.col("__rows") > F.lit(share * fraction * total)).drop("__rows")
-    rows = found.collect()
-    return local_table(df.sparkSession, rows, found.schema) if rows else None
-
-
 PLAIN_TYPES = (T.StringType, T.IntegralType, T.DoubleType, T.BooleanType)
 MAX_LITERAL_ROWS = 50
 

@@ -174,3 +174,60 @@ def test_reconcile_is_exact_for_whole_numbers_and_relative_for_doubles(spark):
     x = spark.range(100).select((F.col("id") + 1e12).alias("x"))
     assert V.reconcile(x, x.withColumn("x", F.col("x") + 1e-3), "x").first().agrees
     assert not V.reconcile(x, x.withColumn("x", F.col("x") * (1 + 1e-6)), "x").first().agrees
+
+
+def first_pass(monkeypatch):
+    """Catches the keys that the first pass hands on."""
+    seen = []
+
+    def kept(df):
+        seen.append(df.count())
+        return df
+
+    monkeypatch.setattr(V, "set_aside", kept)
+    return seen
+
+
+def test_noise_within_the_tolerance_joins_no_row(spark, monkeypatch):
+    seen = first_pass(monkeypatch)
+    n = F.col("id")
+    left = spark.range(500).select(
+        "id", (n / 7).alias("d"), (n / 3).cast("float").alias("f"), n.cast("decimal(12,3)").alias("m"), (n * 5).alias("i"), F.concat(F.lit("t"), n).alias("t")
+    )
+    noise = (n % 200 - 100) / 1001
+    right = left.select(
+        "id", (F.col("d") + noise).alias("d"), (F.col("f") + noise).cast("float").alias("f"), (F.col("m") + F.lit(0.099)).cast("decimal(12,3)").alias("m"), "i", "t"
+    )
+    assert V.dataframe_diff_approx(left, right, ["id"], 0.1).count() == 0
+    assert seen == [0]
+    # Whole numbers move only where the tolerance allows it.
+    later = right.withColumn("i", F.col("i") + F.when(n % 100 == 0, 2).otherwise(1))
+    assert V.dataframe_diff_approx(left, later, ["id"], 1.0).count() == 5
+    assert V.dataframe_diff_approx(left, later, ["id"], 0.1).count() == 500
+    assert seen == [0, 5, 500]
+
+
+NUMBERS = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.0, 1.05, 1.2, 1e308, -1e308, 5e-324]
+
+
+def test_first_pass_agrees_with_plain_comparison(spark):
+    pairs = [(i * 100 + j, a, b) for i, a in enumerate(NUMBERS) for j, b in enumerate(NUMBERS)]
+    both = spark.createDataFrame(pairs, "k int, a double, b double")
+    for precision in (0.0, 0.1, 1e308):
+        got = V.dataframe_diff_approx(
+            both.select("k", F.col("a").alias("x")), both.select("k", F.col("b").alias("x")), ["k"], precision
+        )
+        plain = V.column_mismatches_approx(both, "a", "b", precision)
+        assert sorted(values(got, "k")) == sorted(values(plain, "k"))
+
+
+def test_decimals_too_long_to_add_up(spark):
+    rows = spark.sql(
+        "SELECT 1 AS k, 99999999999999999999999999999999999999BD AS a, -99999999999999999999999999999999999999BD AS b "
+        "UNION ALL SELECT 2, 99999999999999999999999999999999999999BD, 99999999999999999999999999999999999998BD "
+        "UNION ALL SELECT 3, NULL, NULL UNION ALL SELECT 4, NULL, 0BD"
+    )
+    got = V.dataframe_diff_approx(
+        rows.select("k", F.col("a").alias("x")), rows.select("k", F.col("b").alias("x")), ["k"], 1.0
+    )
+    assert sorted(values(got, "k")) == [1, 4]

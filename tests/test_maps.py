@@ -157,21 +157,21 @@ def test_local_tables(spark, monkeypatch, most):
     assert bag(K.local_table(spark, dates.collect(), dates.schema)) == bag(dates)
 
 
-def test_hot_keys_are_found_and_few(hot):
-    found = K.hot_keys(hot, ["k"], ["k"], share=0.1)
-    assert sorted(values(found), key=str) == [7, None]
-    assert K.hot_keys(hot, ["payload"], ["p"], share=0.5) is None
-
-
 def test_hot_rows_are_not_shuffled(spark, hot, monkeypatch):
     table = spark.range(40).select(F.col("id").alias("k"), F.lit("x").alias("x"))
     shown = plan(K.join_unique(hot, table, ["k"], max_broadcast_bytes=0))
     # One branch for cold keys, shuffled; one for hot keys, broadcast.
-    assert shown.count("SortMergeJoin") == 1
-    assert "LeftAnti" in shown and "LeftSemi" in shown
+    assert shown.count("SortMergeJoin") == 1 and shown.count("BroadcastHashJoin") == 1
     monkeypatch.setattr(K, "HOT_BYTES", 0)
     shown = plan(K.join_unique(hot, table, ["k"], max_broadcast_bytes=0))
-    assert shown.count("SortMergeJoin") == 1 and "LeftAnti" not in shown
+    assert shown.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in shown
+
+
+def test_keys_of_two_types_are_joined_by_merge(spark, hot):
+    table = spark.range(40).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("v"), F.col("id")).alias("x"))
+    result = K.join_unique(hot, table, ["k"], max_broadcast_bytes=0)
+    assert "BroadcastHashJoin" not in plan(result)
+    assert dict(bag(result)) == expected_lookup(bag(hot), {i: f"v{i}" for i in range(40)})
 
 
 def test_join_unique_null_safe_and_several_keys(spark):
