@@ -177,3 +177,46 @@ def cast_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     hundredfold = F.transform("embedding", lambda x: x * F.lit(100).cast("float"))
     total = F.aggregate(cast_array(hundredfold, "int"), F.lit(0).cast("bigint"), lambda a, x: a + x)
     return table(spark, sf_dir, "embeddings").select("vec_id", total.alias("total"))
+
+
+SYLLABLES = "an th er in re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve the ing".split()
+#: A thousand topics of one to three words, most of them made of two syllables.
+MANY_TOPICS = [
+    [
+        SYLLABLES[n % 32] + SYLLABLES[n // 32],
+        SYLLABLES[n * 7 % 32] + SYLLABLES[n * 3 % 31],
+        SYLLABLES[n // 40],
+    ][: 1 + n % 3]
+    for n in range(1000)
+]
+
+
+def _many_topics_sql() -> str:
+    pairs = sorted({(word, n) for n, words in enumerate(MANY_TOPICS) for word in words})
+    return f"""
+    WITH topics(word, topic) AS (VALUES {", ".join(f"('{w}', {n})" for w, n in pairs)}),
+    words AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents),
+    hits AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY ALL),
+    counts AS (SELECT doc_id, topic, sum(n) AS n FROM hits JOIN topics USING (word) GROUP BY ALL)
+    SELECT doc_id, CAST(count(topic) AS INTEGER) AS topics, CAST(coalesce(sum(n), 0) AS BIGINT) AS hits,
+           CAST(coalesce(sum(n * (topic + 1)), 0) AS BIGINT) AS weighted
+    FROM documents LEFT JOIN counts USING (doc_id) GROUP BY doc_id
+    """
+
+
+@query("array_keyword_hits_many", _many_topics_sql())
+def keyword_hits_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # How many of a thousand topics a document hits, how often, and a sum that knows which.
+    counted = table(spark, sf_dir, "documents").select(
+        "doc_id", A.keyword_hits(split_fields(F.col("text"), " "), MANY_TOPICS).alias("hits")
+    )
+
+    def total(values):
+        return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    return counted.select(
+        "doc_id",
+        F.size(F.filter("hits", lambda x: x > 0)).alias("topics"),
+        total(F.col("hits")).alias("hits"),
+        total(F.transform("hits", lambda x, i: x * (i + 1))).alias("weighted"),
+    )

@@ -94,6 +94,24 @@ def strict_delimited_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad
 
 
+@query(
+    "src_strict_delimited_counted",
+    """
+    SELECT c_custkey::VARCHAR || ',' || c_name AS value, count(*) OVER () AS bad_lines,
+           (SELECT count(*) FROM customer WHERE c_acctbal >= 0) AS good_lines
+    FROM customer WHERE c_acctbal < 0
+    """,
+)
+def strict_delimited_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The bad lines, and how many there are of either kind; the lines are read once.
+    found = R.split_strict_delimited(customer_lines(spark, sf_dir), FIELDS)
+    return found.bad.select(
+        "value",
+        F.lit(found.bad_lines).cast("bigint").alias("bad_lines"),
+        F.lit(found.good_lines).cast("bigint").alias("good_lines"),
+    )
+
+
 @query("sink_csv_roundtrip", "SELECT * FROM customer")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "customer-csv")

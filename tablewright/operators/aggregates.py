@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.names import named, require_unique
+from tablewright.sources.scratch import set_aside
 
 
 def column_mean(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
@@ -60,11 +61,11 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(named(c) for c in columns)).distinct()
 
 
-def bounded_values(distinct: DataFrame, column: str, limit: int) -> list[Any]:
+def bounded_values(distinct: DataFrame, column: str, limit: int, name: str | None = None) -> list[Any]:
     """The values of a column of distinct values, sorted, NULL last; more than ``limit`` is an error."""
     values = [row[column] for row in distinct.limit(limit + 1).collect()]
     if len(values) > limit:
-        raise ValueError(f"more than {limit} distinct values in {column!r}: use the long form")
+        raise ValueError(f"more than {limit} distinct values in {name or column!r}: use the long form")
     return [*sorted(v for v in values if v is not None), *(v for v in values if v is None)]
 
 
@@ -91,18 +92,19 @@ def pivot_count(
 ) -> DataFrame:
     """Number of rows per group and value, one output column per value.
 
-    The values are named, or found by a job of their own, of which the caller says how many
-    columns there may be at most.  A cell without rows is NULL; NULL is a value like others.
-    Counts are made first and spread after it, so the pass over the data does not depend on
-    the number of values.
+    The values are named, or found, of which the caller says how many columns there may be at
+    most.  Counts are made first, in one pass that does not depend on the number of values, and
+    spread after it; where values have to be found the counts are set aside, and values and
+    cells both come from them.  A cell without rows is NULL; NULL is a value like others.
     """
+    counted = pivot_count_long(df, rows, column, "__value", "__count")
     if values is None:
         if max_values is None:
             raise ValueError("name the values, say how many there may be, or use pivot_count_long")
-        values = bounded_values(distinct_values(df, column), column, max_values)
+        counted = set_aside(counted)
+        values = bounded_values(distinct_values(counted, "__value"), "__value", max_values, column)
     names = [text_of(v) for v in values]
     require_unique(df.sparkSession, [*rows, *names])
-    counted = pivot_count_long(df, rows, column, "__value", "__count")
     kind = df.schema[column].dataType
     cells = (
         F.max(F.when(F.col("__value").eqNullSafe(F.lit(v).cast(kind)), F.col("__count"))).alias(n)

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.text import split_fields
 from tablewright.operators.names import named
+from tablewright.sources.scratch import scratch_path
 
 BAD_LINE_POLICIES = ("fail", "drop", "split")
 BAD_RECORD = "__bad_record"
@@ -129,3 +131,36 @@ def read_strict_delimited(
 def _parts(line: Column, fields: Sequence[str], separator: str) -> list[Column]:
     parts = split_fields(line, separator)
     return [parts.getItem(i).alias(f) for i, f in enumerate(fields)]
+
+
+@dataclass(frozen=True)
+class StrictLines:
+    """What :func:`split_strict_delimited` made of some lines."""
+
+    good: DataFrame
+    bad: DataFrame
+    good_lines: int
+    bad_lines: int
+
+
+def split_strict_delimited(
+    lines: DataFrame, fields: Sequence[str], separator: str = ",", column: str = "value"
+) -> StrictLines:
+    """Good rows, bad lines, and the number of each, from one pass over the lines.
+
+    The lines are split once and set aside with a mark, in files of their own for either kind;
+    they are counted while they are written.
+    """
+    line = named(column)
+    parts = split_fields(line, separator)
+    bad = ~F.coalesce(F.size(parts) == len(fields), F.lit(False))
+    counted = Observation()
+    marked = lines.select(bad.alias("bad"), F.when(~bad, parts).alias("parts"), F.when(bad, line).alias("line")).observe(
+        counted, F.count_if(~F.col("bad")).alias("good_lines"), F.count_if("bad").alias("bad_lines")
+    )
+    path = scratch_path(lines.sparkSession, "strict-lines")
+    marked.write.partitionBy("bad").parquet(path)
+    kept = lines.sparkSession.read.schema(marked.schema).parquet(path)
+    good = kept.where(~F.col("bad")).select(*(F.col("parts")[i].alias(f) for i, f in enumerate(fields)))
+    numbers = {"good_lines": 0, "bad_lines": 0} | counted.get
+    return StrictLines(good, kept.where("bad").select(F.col("line").alias(column)), **numbers)

@@ -134,6 +134,17 @@ def test_keyword_hits(spark):
     assert hits == [[None] * 3 if x is None else [sum(w in t for w in x.split(" ")) for t in topics] for x in lines]
 
 
+@pytest.mark.parametrize("count", [0, 1, 7, 1000])
+def test_keyword_hits_of_any_number_of_topics(spark, count):
+    topics = [[f"w{n % 13}", f"w{n * 5 % 13}", "ünï'\"\\"][: 1 + n % 3] for n in range(count)]
+    lines = ["w1 w1 w5 x", "", "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12", "ünï'\"\\ w3 w3", "x y", None]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = one(df, A.keyword_hits(S.split_fields(F.col("line"), " "), topics))
+    assert got == [[None] * count if x is None else [sum(w in set(t) for w in x.split(" ")) for t in topics] for x in lines]
+    tokens = spark.createDataFrame([([None, "w1", None],)], "tokens array<string>")
+    assert one(tokens, A.keyword_hits(F.col("tokens"), [["w1"], ["w2"]])) == [[1, 0]]
+
+
 def test_seeded_uniform(spark):
     df = spark.range(2000)
     draws = one(df, C.seeded_uniform(3, F.col("id")))

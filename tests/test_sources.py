@@ -165,6 +165,18 @@ def test_strict_lines_drop_and_split(lines):
     assert bag(bad) == Counter((x,) for x in BAD)
 
 
+def test_strict_lines_are_split_and_counted_in_one_pass(lines, spark):
+    found = R.split_strict_delimited(lines, FIELDS)
+    assert bag(found.good) == Counter(tuple(x.split(",")) for x in GOOD) and found.good.columns == FIELDS
+    assert bag(found.bad) == Counter((x,) for x in BAD) and found.bad.columns == ["value"]
+    assert (found.good_lines, found.bad_lines) == (len(GOOD), len(BAD))
+    assert "PartitionFilters: [isnotnull(bad" in plan(found.bad)
+    none = R.split_strict_delimited(lines.limit(0), FIELDS)
+    assert (none.good.count(), none.bad.count(), none.good_lines, none.bad_lines) == (0, 0, 0, 0)
+    only = R.split_strict_delimited(lines.where("value is null"), FIELDS, column="value")
+    assert (only.good.count(), only.bad_lines) == (0, 1)
+
+
 def test_strict_lines_fail_even_if_no_field_is_used(lines):
     strict = R.read_strict_delimited(lines, FIELDS)
     with pytest.raises(SparkRuntimeException, match="Bad line: "):
