@@ -19,11 +19,6 @@ MERGED_SAMPLE_ROWS = 10_000
 # Into how many parts of about equal size a large sample is counted.
 PREFIXES = 1 << 16
 DIGEST = "__digest"
-# Size of the sketch of hashes, and how far off its ranks may be, as a share of all rows (six times what it promises).
-SKETCH_SIZE = 4096
-SKETCH_ERROR = 0.008
-# Ranks that it is asked for.
-RANKS = 512
 
 
 def rank_top_k(
@@ -96,41 +91,24 @@ def sample_without_replacement(
     The sample is the rows with the least hashes.  A small one is a top-k.  A large one
     would be merged in a single task by that; instead the rows below a hash that is just
     high enough are set aside in the shared folder, and cut down to ``k`` by
-    :func:`_cut`.  One pass over the keys finds that hash: it counts the rows and sketches
-    their hashes, so that copies of a key are reckoned with; a share too small for the sketch
-    follows from the number of rows, as hashes of different keys are uniform.  A second pass
-    sets the rows aside; should they be too few after all, it is repeated with a higher hash.
+    :func:`_cut`.  Hashes of different keys being uniform, that hash follows from the number of
+    rows: one pass, without hashing, counts them, and one more sets the rows aside.  If many
+    copies of a key make them too few, it is repeated with a higher hash.
     """
     hashed = _with_digest(df, keys, seed)
     if k <= merged_rows:
         return _least(hashed, keys, k).drop(DIGEST)
-    total, below = _high_enough(hashed, k)
-    while below < HASH_RANGE:
-        candidates = set_aside(hashed.where(F.col(DIGEST) < F.lit(f"{below:08x}")))
+    total = df.count()
+    wanted = k + 6 * math.sqrt(k) + 100
+    while wanted < total:
+        below = f"{int(wanted / total * HASH_RANGE):08x}"
+        candidates = set_aside(hashed.where(F.col(DIGEST) < F.lit(below)))
         if candidates.count() >= k:
             return _cut(candidates, k, keys, total).drop(DIGEST)
-        below *= 4
+        wanted *= 4
     return _cut(set_aside(hashed), k, keys, total).drop(DIGEST) if k < total else df
 
 
-def _high_enough(hashed: DataFrame, k: int) -> tuple[int, int]:
-    """The number of rows, and what the first eight digits of a hash have to be below so that ``k`` rows are."""
-    first = F.conv(F.substring(DIGEST, 1, 8), 16, 10).cast("bigint")
-    seen = hashed.select(first.alias("__first")).agg(
-        F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_bigint("__first", SKETCH_SIZE).alias("sketch")
-    )
-    ranks = F.array(*(F.lit(i / RANKS) for i in range(1, RANKS + 1)))
-    quantiles = F.when(F.col("rows") > k, F.kll_sketch_get_quantile_bigint("sketch", ranks))
-    found = seen.select("rows", quantiles.alias("quantiles")).first()
-    total = found["rows"]
-    if total <= k:
-        return total, HASH_RANGE
-    if k < SKETCH_ERROR * total:
-        return total, int((k + 6 * math.sqrt(k) + 100) / total * HASH_RANGE) + 1
-    rank = min(RANKS, math.ceil((k / total + SKETCH_ERROR) * RANKS))
-    return total, found["quantiles"][rank - 1] + 1
-
-
 def _cut(hashed: DataFrame, k: int, keys: Sequence[str], total: int) -> DataFrame:
     """The ``k`` rows with the least hashes, by counting rows per hash prefix.
 
