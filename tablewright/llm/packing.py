@@ -9,6 +9,7 @@ makes the pieces, their histogram and their ranks, and looks each piece up in th
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -124,6 +125,12 @@ ADJACENT_SPACES = re.compile(r" \s|\s ")
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Words that the pre-tokenizer leaves whole, and the marks around them that it splits off whole.
 PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+MARKS = frozenset(string.punctuation) - {"'"}
+
+
+def _simple(word: str) -> bool:
+    """Whether a word is ASCII letters, or these and one mark: what can be told without a pattern."""
+    return word.isascii() and (word.isalpha() or (word[-1:] in MARKS and word[:-1].isalpha()))
 
 
 class WordIds(dict):
@@ -134,9 +141,17 @@ class WordIds(dict):
         self.tokenizer = json_tokenizer(tokenizer)
         self.tokenize = self.tokenizer.model.tokenize
         self.parts: dict[str, bytes] = {}
+        self.written = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(" " + word)
+        head, line_break, rest = word.partition("\n")
+        if _simple(head) and not line_break:
+            ids = self.letters("Ġ" + word) if word.isalpha() else self[word[:-1]] + self.part(word[-1])
+        elif _simple(head) and _simple(rest):
+            # The pre-tokenizer splits off a single line break between two words.
+            ids = self[head] + self.part(line_break) + self.encode(rest)
+        else:
+            ids = self.encode(" " + word)
         if len(word) <= CACHED_CHARACTERS:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
@@ -149,11 +164,14 @@ class WordIds(dict):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.part, plain.groups()))
 
+    def letters(self, piece: str) -> bytes:
+        """Ids of a pre-token, written as the vocabulary writes it."""
+        return b"".join([self.written[token.id] for token in self.tokenize(piece)])
+
     def part(self, piece: str) -> bytes:
         ids = self.parts.get(piece)
         if ids is None:
-            tokens = self.tokenize(piece.encode().decode("latin-1").translate(BYTE_LEVEL)) if piece else []
-            ids = np.array([token.id for token in tokens], "<u4").tobytes()
+            ids = self.letters(piece.encode().decode("latin-1").translate(BYTE_LEVEL)) if piece else b""
             if len(self.parts) >= CACHE_ENTRIES:
                 self.parts.clear()
             self.parts[piece] = ids

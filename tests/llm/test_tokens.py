@@ -170,3 +170,13 @@ def test_tree_finds_the_tightest():
         tree.set(capacity, is_open)
         need = source.randint(1, 100)
         assert tree.tightest(need) == min((c for c in opened if c >= need), default=None)
+
+
+def test_words_are_encoded_as_the_library_does():
+    tokenizer, encoder = packing.json_tokenizer(packing.TOKENIZER), packing.WordIds(packing.TOKENIZER)
+    texts = ["a b. c, d! e's f.\nG h\ni.\nJ, k\n\nl m.\n n\u2028o p\x0bq r\rs t.\r\nu", "é ü. ñ\nö x\n y\n", "\nx y.\n", "x .\ny .\n.z 1\n2 a1\nb b\nc2",
+             "A.B c-d e- (f) g_ h`\ni <|endoftext|> <s>\n</s> a<|endoftext|>b\nc", "word" * 40 + "\nnext " + "x" * 300, "x'\ny 's\n's don't\nI'll 日\n本 naïve.\nünï"]
+    for text in [*texts, *ODD_TEXTS]:
+        for _ in range(2):
+            expected = tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(encoder.of_text(text or ""), "<u4").tolist() == expected, text
