@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_remainder, id_type
+from tablewright.llm.common import id_remainder, id_type, written
 
 UNKNOWN = "und"
 DIMENSIONS = 2048
@@ -91,13 +91,9 @@ class GramCache:
         return total
 
 
+@functools.cache
 def _cache() -> GramCache:
     """One cache per worker process, also across its tasks."""
-    return _kept_cache()
-
-
-@functools.cache
-def _kept_cache() -> GramCache:
     return GramCache()
 
 
@@ -138,7 +134,8 @@ def language_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str
 
     texts = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     parts = texts.dropna().mapInArrow(bundled, "lang string, place int, total double")
-    sums = parts.groupBy("lang", "place").agg(F.sum("total").alias("total"))
+    # Written, as they are read twice: first the languages, then their profiles.
+    sums = written(parts.groupBy("lang", "place").agg(F.sum("total").alias("total")), "profiles")
     langs = [r.lang for r in sums.where("place = 0").select("lang").orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
