@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import written
@@ -29,6 +29,8 @@ SHORT_LENGTH = 6
 BARE_LENGTH = 88
 #: Characters around a candidate in which its complement has to stand.
 SCOPE = 240
+#: Characters of the blocks into which a text is cut before what stands between findings is put together.
+CUT = 1024
 
 #: Kinds in the order in which those that start alike are listed, with the role each plays in a credential.
 ROLES = {"assign": "secret", "access": "account", "hex": "secret", "account": "account", "key": "secret", "endpoint": "endpoint"}
@@ -134,31 +136,43 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redact_secrets(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]") -> DataFrame:
     """The rows of ``docs``, with all their columns, with every finding in a text replaced.
 
-    Findings that overlap are replaced together. A text without findings stays as it is, NULL included.
+    Findings that overlap are replaced together. A text without findings stays as it is, NULL included. The work
+    per text grows with its length and with the number of its findings, and not with their product.
     """
-    digest = F.sha2(F.col(text_col).cast("binary"), 256)
-    texts = docs.select(digest.alias("_digest"), F.col(text_col))
-    found = find_secrets(texts, "_digest", text_col).where(F.size("findings") > 0)
-    # What is found depends on the text alone: copies share it.
-    found = written(found.groupBy("_digest").agg(F.any_value("findings").alias("_findings")), "findings")
     text = F.col(text_col)
-
-    def step(state: Column, finding: Column) -> Column:
-        apart = finding["start"] >= state["at"]
-        between = F.substring(text, state["at"] + 1, finding["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], finding["end"]).alias("at"),
-            F.when(apart, F.concat(state["out"], between, F.lit(placeholder))).otherwise(state["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    redacted = F.aggregate("_findings", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    joined = docs.withColumn("_digest", digest).join(found, "_digest", "left")
-    return joined.withColumn(text_col, F.when(F.col("_findings").isNull(), text).otherwise(redacted)).drop(
-        "_digest", "_findings"
+    digest = F.sha2(text.cast("binary"), 256)
+    found = find_secrets(docs.select(digest.alias("_digest"), text), "_digest", text_col).where(F.size("findings") > 0)
+    # What is found depends on the text alone: copies share it.
+    found = written(found.groupBy("_digest").agg(F.any_value("findings").alias("findings")), "findings")
+    joined = docs.withColumn("_digest", digest).join(_kept_stretches(found), "_digest", "left")
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    # The outer transform binds the blocks, so that they are made once and not for every stretch.
+    redacted = F.transform(
+        F.array(blocks),
+        lambda blocks: F.array_join(F.transform("_stretches", lambda stretch: _cut(blocks, stretch, F.length(text))), placeholder),
+    )[0]
+    return joined.withColumn(text_col, F.when(F.col("_stretches").isNull(), text).otherwise(redacted)).drop(
+        "_digest", "_stretches"
     )
 
 
+def _kept_stretches(found: DataFrame) -> DataFrame:
+    """``_digest`` and ``_stretches``: from where to where no finding stands (to the end: NULL), in order."""
+    before = Window.partitionBy("_digest").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    placed = found.select("_digest", F.inline("findings")).withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0)))
+    inner = F.when(F.col("start") >= F.col("at"), F.struct("at", F.col("start").alias("until")))
+    last = F.struct(F.max("end").alias("at"), F.lit(None).cast("long").alias("until"))
+    return placed.groupBy("_digest").agg(F.concat(F.sort_array(F.collect_list(inner)), F.array(last)).alias("_stretches"))
+
+
+def _cut(blocks: Column, stretch: Column, length: Column) -> Column:
+    """The text of a stretch, of which only the blocks that it touches are read."""
+    until = F.coalesce(stretch["until"], length.cast("long"))
+    first, beyond = F.floor(stretch["at"] / CUT).cast("int"), F.ceil(until / CUT).cast("int")
+    touched = F.array_join(F.slice(blocks, first + 1, F.greatest(beyond - first, F.lit(0))), "")
+    return F.substring(touched, (stretch["at"] - first * CUT + 1).cast("int"), (until - stretch["at"]).cast("int"))
+
+
 def _confirmed(spans: DataFrame, scope: int) -> DataFrame:
     """Weak candidates whose complement stands within ``scope`` characters.
 
