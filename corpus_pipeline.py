@@ -18,8 +18,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles, a similarity of 0.8 or more."""
-    return one_of_each_group(docs)
+    """One document of each group of the SimHash operator stays: three-word shingles, 3 of 64 bits or fewer."""
+    return one_of_each_group(docs, shingle=3)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

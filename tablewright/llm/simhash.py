@@ -10,7 +10,6 @@ longer chains, then against the Hamming distance.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -25,14 +24,8 @@ from tablewright.llm.common import id_type, rows, utf8, written
 from tablewright.llm.components import connected_components
 
 SEED = 42
-#: Near-duplicates by similarity: words of the fingerprint, 16-bit parts that are looked up (all), and bits that may
-#: differ before the shingles themselves are compared (of 256 bits, 39 differ on average at a similarity of 0.8, with a
-#: deviation of 6; for the least sets, 4 shingles of 5, it is 48).
-SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS = 4, 16, 72
 #: Words compared at once in one group; a key with more is dealt out in pairs of blocks of about this size.
 BLOCK = 2048
-#: Text compared at once in one family; a larger one is dealt out in pairs of blocks of about this size.
-BLOCK_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -66,8 +59,6 @@ class Ring:
 
 #: 64 bits within 3: keys of 28 bits.
 CONTRACT_RING = Ring(64, 8, 3, halves=True)
-#: 16 bits within 1: keys of 12 bits.
-WORD_RING = Ring(16, 4, 1, halves=False)
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -120,28 +111,6 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, turn
     )
 
 
-def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, turns: int) -> DataFrame:
-    """``_id``, ``node`` (a digest of the distinct shingles), their ``words`` and, the same as bytes, ``print``."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (np.unique(shingle_hashes(text, shingle)) for _, text in rows([batch]))
-            found = [(hashlib.sha256(x.tobytes()).digest(), simhash(x, turns)) for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([digest for digest, _ in found], pa.binary()),
-                    pa.array([words for _, words in found], pa.list_(pa.int64())),
-                    pa.array([np.array(words).tobytes() for _, words in found], pa.binary()),
-                ],
-                ["_id", "node", "words", "print"],
-            )
-
-    return docs.select(F.col(id_col).alias("_id"), utf8(F.col(text_col)).alias("_text")).mapInArrow(
-        hashed, f"_id {id_type(docs, id_col)}, node binary, words array<long>, print binary"
-    )
-
-
 def ring_keys(word: Column, ring: Ring, tag: int) -> list[Column]:
     """The keys of a word (a long of which ``ring.bits`` are used), told apart by ``tag`` and by their place."""
     full = (1 << ring.bits) - 1
@@ -279,103 +248,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def similarity(a: bytes, b: bytes, shingle: int) -> float:
-    """Share of the distinct word shingles of two texts that they have in common."""
-
-    def shingles(text: bytes) -> set:
-        words = text.lower().split()
-        return set(zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) >= shingle else {tuple(words)}
-
-    left, right = shingles(a), shingles(b)
-    return len(left & right) / len(left | right)
-
-
-def _similar(sets: list[np.ndarray], block: np.ndarray, low: int, high: int, least: float) -> Iterator[tuple[int, int]]:
-    """Pairs of sets of a similarity of ``least`` or more that connect all that such pairs connect.
-
-    Both sets are in block ``low`` if that is ``high``, else one is in each. A pair already connected is not compared.
-    """
-    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    sizes = np.array([len(x) for x in sets])
-    parts = np.split(ids, np.cumsum(sizes)[:-1])
-    marked = np.zeros(len(ids), bool)
-    tree = np.arange(len(sets))
-    for i in np.flatnonzero(block == low):
-        while (tree != tree[tree]).any():
-            tree[:] = tree[tree]
-        apart = (block == high) & (tree != tree[i]) & (np.minimum(sizes, sizes[i]) >= least * np.maximum(sizes, sizes[i]) - 1e-6)
-        if low == high:
-            apart[: i + 1] = False
-        marked[parts[i]] = True
-        for j in np.flatnonzero(apart):
-            shared = int(np.count_nonzero(marked[parts[j]]))
-            either = int(sizes[i]) + int(sizes[j]) - shared
-            if (shared / either if either else 1.0) >= least:
-                x, y = i, j
-                while tree[x] != x:
-                    x = tree[x]
-                while tree[y] != y:
-                    y = tree[y]
-                if x != y:
-                    tree[max(x, y)] = min(x, y)
-                    yield i, j
-        marked[parts[i]] = False
-
-
-def alike(texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Edges ``a``, ``b`` that connect what is similar within each family of ``texts`` (``family``, ``node``, ``text``).
-
-    All pairs of a family are compared by their distinct shingles, in blocks of bounded size; only pairs found similar
-    thin out the edges.
-    """
-    sizes = texts.groupBy("family").agg(F.sum(F.length("text") + 64).alias("size"))
-    dealt = (
-        texts.join(sizes, "family")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK_BYTES).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text")
-    )
-
-    def compared(group: pa.Table) -> pa.Table:
-        node, block = group.column("node").to_pylist(), group.column("block").to_numpy()
-        low, high = (group.column(c)[0].as_py() for c in ("low", "high"))
-        sets = [np.unique(shingle_hashes(x.as_py(), shingle)) for x in group.column("text")]
-        found = [(node[i], node[j]) for i, j in _similar(sets, block, low, high, least)]
-        left, right = zip(*found, strict=True) if found else ((), ())
-        return pa.table([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
-
-    return dealt.groupBy("family", "low", "high").applyInArrow(compared, "a binary, b binary")
-
-
-def one_of_each_group(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8
-) -> DataFrame:
-    """One row of ``docs``, with all its columns, of each group of near-duplicates: that with the smallest id.
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each group of ``near_duplicates``: that with the smallest id.
 
-    Rows are linked whose distinct word shingles have a similarity of ``least`` or more; groups are what links reach.
-    Rows with the same set of shingles are one node. Candidates are those with the same fingerprint of that set, 256
-    bits, or of which a 16-bit part differs in one bit at most; all pairs among what candidates connect are compared.
-    NULL and empty texts, and those of white space alone, are copies of one another. Of rows with the same id
-    and text any one stays; a NULL id counts as the largest. No rows give no rows.
+    NULL and empty texts, and those of white space alone, are one group. Of rows with the same id and text any one
+    stays; of those with the same id and different texts in one group the one whose SHA-256 is the smallest. A NULL
+    id counts as the largest. No rows give no rows.
     """
-    text = utf8(F.col(text_col))
-    digest = F.sha2(text, 256)
-    keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest")).alias("_key"), F.col(text_col).alias("_text"))
-    prints = set_fingerprints(keyed, "_key", "_text", shingle, SIMILAR_WORDS)
-    nodes = written(prints.groupBy("words", "print", "node").agg(F.min("_id").alias("_first")), "nodes")
-    classes = nodes.groupBy("words", "print").agg(F.count("*").alias("n"))
-    candidates = links(classes.select("words"), WORD_RING, SIMILAR_WORDS, SIMILAR_PARTS, SIMILAR_BITS)
-    labels = connected_components(candidates).withColumnRenamed("node", "print")
-    families = classes.join(labels, "print", "left").where("n > 1 or label is not null")
-    families = families.select("print", F.coalesce("label", "print").alias("family"))
-    involved = nodes.join(families, "print").select("family", "node", F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
-    own = docs.select(F.col(id_col).alias("_own"), text.alias("text"), digest.alias("_own_digest"))
-    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
-    texts = own.join(involved, same).groupBy("family", "node").agg(F.any_value("text").alias("text"))
-    edges = alike(written(texts, "candidate-texts"), shingle, least)
-    groups = _grouped(nodes, edges).select("component_id").distinct()
-    kept = groups.select(F.col("component_id.id").alias("_id"), F.col("component_id.digest").alias("_digest"))
+    given = F.col(id_col)
+    digest = F.sha2(utf8(F.col(text_col)), 256)
+    key = F.struct(given.isNull().alias("none"), given.alias("id"), digest.alias("digest"))
+    found = near_duplicates(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text", shingle)
+    kept = found.select(F.col("component_id.id").alias("_id"), F.col("component_id.digest").alias("_digest")).distinct()
     marked = docs.withColumn("_own_digest", digest)
     same = marked[id_col].eqNullSafe(kept["_id"]) & (F.col("_own_digest") == kept["_digest"])
     copies = Window.partitionBy(id_col, "_own_digest").orderBy(F.lit(0))

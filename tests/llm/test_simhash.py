@@ -53,7 +53,7 @@ def test_query(spark):
 
 
 @pytest.mark.parametrize("block", [2048, 7])
-@pytest.mark.parametrize("ring", [simhash.CONTRACT_RING, simhash.WORD_RING, simhash.Ring(32, 8, 3, True)])
+@pytest.mark.parametrize("ring", [simhash.CONTRACT_RING, simhash.Ring(16, 4, 1, False), simhash.Ring(32, 8, 3, True)])
 def test_links_equal_all_pairs(spark, ring, block, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", block)
     source = np.random.default_rng(5)
