@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import projections, queries
 from tests.llm.conftest import SF_DIR
@@ -74,3 +75,76 @@ def test_many_copies(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(500)] + [(900, [3.0, -1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert got(projections.near_duplicate_vectors(df)) == plain(rows)
+
+
+def dense(seed, members, others, width=32):
+    """Vectors of which a cluster (mean cosine 0.87) has every second one a partner at cosine 0.955."""
+    source = np.random.default_rng(seed)
+
+    def units(n):
+        v = source.standard_normal((n, width))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    centre, noise = units(1), units(members)
+    noise -= (noise @ centre.T) * centre
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    cluster = np.sqrt(0.87) * centre + np.sqrt(0.13) * noise
+    aside = units(members)
+    aside -= np.sum(aside * cluster, axis=1, keepdims=True) * cluster
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    partners = 0.955 * cluster + np.sqrt(1 - 0.955**2) * aside
+    return np.concatenate([cluster, partners[::2], units(others)])
+
+
+def test_dense_cluster(spark):
+    members = 3000
+    vectors = dense(5, members, 5000)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    out = {r.vec_id: r for r in projections.near_duplicate_vectors(df, window=8).collect()}
+    cosine = vectors @ vectors.T
+    np.fill_diagonal(cosine, 0)
+    links = (cosine >= 0.95).sum(axis=1)
+    assert len(out) == len(rows)
+    assert all(out[i].n_links <= links[i] for i in out)
+    assert sum(r.n_links for r in out.values()) >= 0.9 * links.sum()
+    together = [out[2 * k].component_id == out[members + k].component_id for k in range(members // 2)]
+    assert np.mean(together) >= 0.9
+
+
+@pytest.mark.parametrize("partitions", [40, 200])
+def test_windows_reach_over_small_and_empty_partitions(spark, partitions):
+    rows = clustered(4, 3, 15, 0.1)
+    df = spark.createDataFrame(rows, "node long, v array<float>").withColumn("keys", F.expr("array(node div 20, 0L)"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        edges = [(r.a, r.b) for r in projections.window_edges(df, 0.95, 45).collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    vectors = np.array([v for _, v in rows])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.95
+    nodes = [n for n, _ in rows]
+    wanted = plain_groups(nodes, lambda a, b: close[a - 1000, b - 1000])
+    linked = plain_groups(nodes, lambda a, b: (a, b) in edges or (b, a) in edges)
+    assert linked == wanted
+
+
+def test_boundaries():
+    assert projections._near_boundaries([(3, 10)], 4) == []
+    assert projections._near_boundaries([(0, 10), (2, 1), (5, 10), (6, 10)], 4) == [
+        (0, 0, 10), (0, 0, 11), (2, 10, 10), (2, 10, 11), (5, 11, 10), (5, 11, 11), (5, 11, 21), (6, 21, 21),
+    ]
+
+
+def test_probes_are_partners_at_the_threshold(spark):
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(np.random.default_rng(1).standard_normal((400, 8)))]
+    rows += [(400 + k, [1.0]) for k in range(100)]
+    made = projections.probes(spark.createDataFrame(rows, "node long, v array<float>"), 0.95, len(rows)).collect()
+    assert made and all(0 <= -1 - r.node < 400 for r in made)
+    for row in made:
+        v = np.array(rows[-1 - row.node][1])
+        assert 0.95 <= v @ np.array(row.v) / np.linalg.norm(v) / np.linalg.norm(row.v) < 0.9501
