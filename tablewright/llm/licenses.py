@@ -1,13 +1,16 @@
 """License labels: exact phrases, and short notices found with a bounded number of edits.
 
 A notice with at most ``k`` edits, cut into ``k + 1`` pieces, keeps one piece as it is (pigeonhole). The pieces of
-all notices are seeds that are searched exactly, all at once; where one occurs, a window as long as the notice and
-its edits is matched by the ``regex`` library within the bound, and the matched span is reported.
+all notices are seeds that are searched exactly, all at once. Where one occurs, most of the notice's trigrams have to
+stand near their places too: an edit changes at most three of them. Then a window as long as the notice and its edits
+is matched by the ``regex`` library within the bound, and the matched span is reported.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
+import heapq
 from collections.abc import Iterator, Mapping
 
 import ahocorasick
@@ -38,6 +41,7 @@ NOTICES = {
 }
 #: Characters of a notice for each edit that is allowed in it.
 CHARACTERS_PER_EDIT = 10
+GRAM = 3
 
 #: ASCII bytes other than digits and letters part words; letters are lower-cased; bytes of other characters stay.
 WORD_BYTES = bytes(
@@ -45,8 +49,23 @@ WORD_BYTES = bytes(
 )
 
 
+class Spans:
+    """Spans that do not overlap, in order."""
+
+    def __init__(self) -> None:
+        self.spans: list[tuple[int, int]] = []
+
+    def overlapped(self, start: int, end: int) -> tuple[int, int] | None:
+        """A span that overlaps the given one."""
+        at = bisect.bisect_left(self.spans, (end, 0)) - 1
+        return self.spans[at] if at >= 0 and self.spans[at][1] > start else None
+
+    def add(self, start: int, end: int) -> None:
+        bisect.insort(self.spans, (start, end))
+
+
 class NoticeSearch:
-    """Seeds and patterns of a set of notices."""
+    """Seeds, trigrams and patterns of a set of notices."""
 
     def __init__(self, notices: Mapping[str, str]) -> None:
         self.notices = list(notices.items())
@@ -55,6 +74,10 @@ class NoticeSearch:
             regex.compile(f"(?be)(?:{regex.escape(notice)}){{e<={edits}}}")
             for (notice, _), edits in zip(self.notices, self.edits, strict=True)
         ]
+        self.grams = [
+            [notice[k : k + GRAM] for k in range(len(notice) - GRAM + 1)] for notice, _ in self.notices
+        ]
+        self.best = functools.lru_cache(maxsize=4096)(self._best)
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, (notice, _) in enumerate(self.notices):
             pieces = self.edits[number] + 1
@@ -66,42 +89,83 @@ class NoticeSearch:
             self.seeds.add_word(seed, uses)
         self.seeds.make_automaton()
 
-    def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """For each notice, the merged stretches of ``text`` in which it may stand, by exact seeds."""
-        found: dict[int, list[list[int]]] = {}
+    def _best(self, number: int, window: str) -> tuple[int, int, int] | None:
+        """(start, end, edits) of the best match in a window."""
+        notice = self.notices[number][0]
+        at = window.find(notice)
+        if at >= 0:
+            return at, at + len(notice), 0
+        match = self.patterns[number].search(window)
+        return match and (match.start(), match.end(), sum(match.fuzzy_counts))
+
+    def has_grams(self, text: str, number: int, begin: int) -> bool:
+        """Whether enough trigrams of a notice that would begin at ``begin`` are no further off than edits move them."""
+        edits = self.edits[number]
+        missing = GRAM * edits
+        for place, gram in enumerate(self.grams[number], begin):
+            if text.find(gram, max(0, place - edits), max(0, place + edits + GRAM)) < 0:
+                missing -= 1
+                if missing < 0:
+                    return False
+        return True
+
+    def windows(self, text: str) -> dict[int, list[tuple[int, int]]]:
+        """For each notice, the windows of ``text`` in which it may stand, by exact seeds and trigrams.
+
+        Seeds that place the notice within an edit's reach of each other share a window, so that none is longer than
+        the notice and thrice its edits: too short for two matches side by side.
+        """
+        begins: dict[int, set[int]] = {}
         for last, uses in self.seeds.iter(text):
             for number, stop in uses:
-                edits, length = self.edits[number], len(self.notices[number][0])
-                start = max(0, last + 1 - stop - edits)
-                end = min(len(text), last + 1 - stop + length + edits)
-                stretches = found.setdefault(number, [])
-                if stretches and start <= stretches[-1][1]:
-                    stretches[-1][0] = min(stretches[-1][0], start)
-                    stretches[-1][1] = max(stretches[-1][1], end)
+                begins.setdefault(number, set()).add(last + 1 - stop)
+        found: dict[int, list[tuple[int, int]]] = {}
+        for number, places in begins.items():
+            edits, length = self.edits[number], len(self.notices[number][0])
+            groups: list[list[int]] = []
+            for begin in sorted(places):
+                if not self.has_grams(text, number, begin):
+                    continue
+                if groups and begin - groups[-1][0] <= edits:
+                    groups[-1][1] = begin
                 else:
-                    stretches.append([start, end])
+                    groups.append([begin, begin])
+            found[number] = [(max(0, low - edits), min(len(text), high + length + edits)) for low, high in groups]
         return found
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(start, end, notice, edits) of each match: per notice and stretch the best, then those before and after it."""
+        """(start, end, notice, edits) of matches: per notice the best one first, then those that do not overlap it."""
         found = []
-        for number, stretches in self.windows(text).items():
+        for number, windows in self.windows(text).items():
             least = len(self.notices[number][0]) - self.edits[number]
-            left = list(stretches)
-            while left:
-                start, end = left.pop()
-                match = self.patterns[number].search(text, start, end) if end - start >= least else None
+            heap: list[tuple[int, int, int, int, int]] = []
+            taken = Spans()
+
+            def offer(low: int, high: int, number=number, least=least, heap=heap) -> None:
+                match = self.best(number, text[low:high]) if high - low >= least else None
                 if match:
-                    found.append((match.start(), match.end(), number, sum(match.fuzzy_counts)))
-                    left += [(start, match.start()), (match.end(), end)]
+                    heapq.heappush(heap, (match[2], low + match[0], low + match[1], low, high))
+
+            for low, high in windows:
+                offer(low, high)
+            while heap:
+                edits, start, end, low, high = heapq.heappop(heap)
+                if other := taken.overlapped(start, end):
+                    # What the window has beside the match that was there first.
+                    offer(low, min(high, other[0]))
+                    offer(max(low, other[1]), high)
+                else:
+                    taken.add(start, end)
+                    found.append((start, end, number, edits))
         return sorted(found)
 
     def closest(self, text: str) -> list[tuple[int, int, int, int]]:
         """Of matches that overlap, those with the smallest share of edits, and then the longest."""
         ranked = sorted(self.matches(text), key=lambda m: (m[3] / len(self.notices[m[2]][0]), m[0] - m[1], m))
-        kept: list[tuple[int, int, int, int]] = []
+        kept, taken = [], Spans()
         for match in ranked:
-            if all(match[1] <= start or end <= match[0] for start, end, *_ in kept):
+            if not taken.overlapped(match[0], match[1]):
+                taken.add(match[0], match[1])
                 kept.append(match)
         return sorted(kept)
 
@@ -156,9 +220,12 @@ def scan_licenses(
                 )
                 plain = joined.decode("utf-8", "replace")
                 near = []
+                before, at = -1, 0
                 for start, end, number, edits in search.closest(plain):
                     inner = plain[start:end].strip()
-                    first = plain.count(" ", 0, plain.index(inner, start) + 1) - 1
+                    until = plain.index(inner, start) + 1
+                    before, at = before + plain.count(" ", at, until), until
+                    first = before
                     notice, label = search.notices[number]
                     last = first + inner.count(" ")
                     near.append({"first": first, "last": last, "edits": edits, "letters": len(notice), "label": label})

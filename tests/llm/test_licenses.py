@@ -1,6 +1,7 @@
 """Phrases and notices against plain searches."""
 
 import random
+import time
 
 import pytest
 import regex
@@ -92,3 +93,56 @@ def test_worse_notice_before_a_better_one():
         ("licensed unter the apache licence version 2", 2),
         ("licensed under the apache license version 2", 0),
     ]
+
+
+def test_dense_seeds_in_a_long_text():
+    source = random.Random(7)
+    search = licenses.NoticeSearch(licenses.NOTICES)
+    pieces = list(search.seeds.keys())
+    hidden = "licensed under the apahce license version 2"
+    parts = [source.choice(pieces) for _ in range(120_000)]
+    parts[60_000] = hidden
+    text = " " + " ".join(parts) + " "
+    assert len(text) > 1_000_000
+    begin = time.process_time()
+    found = search.closest(text)
+    assert time.process_time() - begin < 30
+    at = text.index(hidden)
+    assert any(start <= at + 3 and at + len(hidden) - 3 <= end for start, end, *_ in found)
+
+
+def test_many_notices_side_by_side():
+    search = licenses.NoticeSearch({"licensed under the apache license version 2": "apache-2"})
+    words = ["licenced under the apache license versoin 2", "licensed under the apache license version 2"]
+    text = " " + " ".join(words * 3000) + " "
+    begin = time.process_time()
+    found = search.closest(text)
+    assert time.process_time() - begin < 20
+    assert len(found) == 6000
+    assert [edits for *_, edits in found] == [3, 0] * 3000
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_matches_equal_a_search_of_the_whole_text(seed):
+    """The best match anywhere, then the best in what is left on both sides, without seeds or windows."""
+    source = random.Random(seed)
+    search = licenses.NoticeSearch(licenses.NOTICES)
+    number = source.randrange(len(search.notices))
+    notice = search.notices[number][0]
+    parts = []
+    for _ in range(8):
+        part = list(notice)
+        for _ in range(source.randint(0, search.edits[number] + 2)):
+            at = source.randrange(len(part))
+            part[at : at + source.randint(0, 1)] = source.choice(["", "x", "q"])
+        parts += ["".join(part), *source.sample(notice.split(), 2)]
+    text = " " + " ".join(parts) + " "
+    wanted, left = [], [(0, len(text))]
+    while left:
+        start, end = left.pop()
+        if match := search.patterns[number].search(text, start, end):
+            wanted.append((sum(match.fuzzy_counts), match.start()))
+            left += [(start, match.start()), (match.end(), end)]
+    got = [(edits, start) for start, _, n, edits in search.matches(text) if n == number]
+    assert sorted(edits for edits, _ in got) == sorted(edits for edits, _ in wanted)
+    assert all(abs(a - b) <= 3 for (_, a), (_, b) in zip(sorted(got, key=lambda x: x[1]), sorted(wanted, key=lambda x: x[1]), strict=True))
