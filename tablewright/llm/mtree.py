@@ -29,6 +29,8 @@ PAGE = 512
 FANOUT = 16
 TREE_ROWS = 8192
 QUERY_BLOCK = 2048
+#: Trees whose balls are compared with a block of queries at once.
+ROOT_BLOCK = 2048
 #: Trees' pivots are taken from the vectors with the smallest hashes of their ids.
 MOST_PIVOTS = 256
 #: Relative room for rounding in bounds.
@@ -105,12 +107,11 @@ class Tree:
         self.entries = [np.frombuffer(x, "float64").reshape(-1, width) for x in pages.entries]
         self.distances = [np.frombuffer(x, "float64") for x in pages.distances]
 
-    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The ``k`` best (id, score) without the query's own row; ties go to smaller ids."""
+    def search(self, query: np.ndarray, own: int, k: int, least: float = -np.inf) -> list[tuple[int, int]]:
+        """The ``k`` best (id, score) without the query's own row, of those that reach ``least``; ties go to smaller ids."""
         length = float(np.linalg.norm(query))
         slack = SLACK * (1 + length * (1 + float(np.abs(self.centres).max(initial=0)) * self.width))
         ids, scores = np.empty(0, "int64"), np.empty(0)
-        least = -np.inf
         product = float(self.centres[0] @ query)
         waiting = [(-(product + length * self.radius[0]), 0, product)]
         while waiting and -waiting[0][0] + slack >= least:
@@ -128,15 +129,31 @@ class Tree:
                 continue
             open_ = product + length * self.distances[node] + slack >= least
             page = self.entries[node] if open_.all() else self.entries[node][open_]
-            found, own_ids = page @ query, self.ids[node][open_]
+            found, own_ids = exact_products(page, query), self.ids[node][open_]
             better = (found >= least) & (own_ids != own)
             ids, scores = np.concatenate([ids, own_ids[better]]), np.concatenate([scores, found[better]])
             if len(ids) > k:
-                best = np.lexsort((ids, -scores))[:k]
+                if scores.dtype == object:
+                    best = sorted(range(len(ids)), key=lambda at, s=scores, i=ids: (-s[at], i[at]))[:k]
+                else:
+                    best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
             if len(ids) == k:
-                least = float(scores.min())
-        return list(zip(ids.tolist(), np.rint(scores).astype("int64").tolist(), strict=True))
+                least = max(least, scores.min())
+        scores = [int(x) for x in scores]
+        if any(abs(x) >= 1 << 63 for x in scores):
+            raise ValueError("an inner product does not fit a long")
+        return list(zip(ids.tolist(), scores, strict=True))
+
+
+def exact_products(page: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of vectors of whole numbers; as Python's integers where doubles could round a sum."""
+    if (np.abs(page) @ np.abs(query)).max(initial=0) < 1 << 52:
+        return page @ query
+    whole = [int(x) for x in query]
+    found = np.empty(len(page), object)
+    found[:] = [sum(int(a) * b for a, b in zip(row, whole, strict=True)) for row in page.tolist()]
+    return found
 
 
 def _vectors(table: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -204,33 +221,93 @@ def top_k(
     ``score``; ties go to the smaller id; queries with fewer candidates have fewer rows. Rows with a NULL id or a
     vector that is NULL or not finite take no part; vectors of different lengths are multiplied as if the shorter
     went on with zeros. Rows that repeat an id are candidates of their own; a repeated query row counts once, with
-    the first of its vectors. Scores are exact while sums of products stay below 2 ** 53.
+    the first of its vectors. Scores are exact; one that does not fit a long is an error.
     """
     dealt, trees = _dealt(_vectors(table, id_col, vector_col, scale))
     pages = written(dealt.groupBy("tree").applyInPandas(_pages, NODE_SCHEMA), "pages")
     asked = _vectors(queries, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
     asked = written(asked, "queries")
     blocks = 1 + asked.count() // QUERY_BLOCK
-    # Every block of queries meets every tree: a cell is one tree and one block.
-    left = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cells = F.explode(F.sequence(F.lit(0), F.lit(max(trees, 1) - 1)))
-    right = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("tree", cells)
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    if trees <= 1:
+        return _ranked(_searched(pages, asked.select("*", F.lit(0).alias("tree"), F.lit(None).cast("double").alias("least")), k), k, id_col)
+    roots = pages.where("parent < 0").select("tree", "centre", "radius", "width")
+    nothing_yet = asked.withColumn("least", F.lit(None).cast("double"))
+    promising = _promising(roots, nothing_yet, trees).groupBy("id").agg(F.max_by("tree", F.struct("bound", "tree")).alias("tree"))
+    starts = written(nothing_yet.join(promising, "id"), "starts")
+    first = written(_searched(pages, starts, k), "first-trees")
+    # A score that is rounded down here asks for no more than it is.
+    reached = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") >= k)
+    least = reached.select(F.col("query_id").alias("id"), (F.col("score") - F.abs("score") * 1e-15).alias("least"))
+    known = written(asked.join(starts.select("id", F.col("tree").alias("start")), "id").join(least, "id", "left"), "known")
+    onward = _promising(roots, known, trees).join(known, "id").where("tree != start").select("id", "v", "block", "least", "tree")
+    further = _searched(pages, written(onward, "onward"), k)
+    return _ranked(first.unionByName(further), k, id_col)
+
+
+def _promising(roots: DataFrame, asked: DataFrame, trees: int) -> DataFrame:
+    """``id``, ``tree`` and ``bound`` of the trees whose balls reach ``least`` of a query, or of the best ball of a
+    block of trees where a query has no ``least`` and ``start`` yet. Blocks of balls meet blocks of queries."""
+    blocks = -(-trees // ROOT_BLOCK)
+    first = "start" not in asked.columns
+    cells = asked.select(F.max("block")).first()[0] or 0
+    left = roots.withColumn("part", F.pmod("tree", F.lit(blocks))).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(cells)))
+    )
+    right = asked.select("id", "v", "block", "least").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    )
+
+    def bounds(balls: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        found: list[pd.DataFrame] = []
+        if len(balls) and len(block):
+            centres = [np.frombuffer(x, "float64") for x in balls.centre]
+            width = max(max(map(len, centres)), max(map(len, block.v)))
+            centres = np.array([np.pad(x, (0, width - len(x))) for x in centres])
+            largest = float(np.abs(centres).max(initial=0))
+            radius, numbers = balls.radius.to_numpy(), balls.tree.to_numpy()
+            for own, v, least in zip(block.id.tolist(), block.v, block.least, strict=True):
+                query = np.pad(np.asarray(v, "float64"), (0, width - len(v)))
+                length = float(np.linalg.norm(query))
+                reach = centres @ query + length * radius + SLACK * (1 + length * (1 + largest * width))
+                if first:
+                    at = np.array([np.argmax(reach)])
+                else:
+                    at = np.flatnonzero(reach >= (-np.inf if least is None or np.isnan(least) else least))
+                found.append(pd.DataFrame({"id": own, "tree": numbers[at], "bound": reach[at]}))
+        return pd.concat(found) if found else pd.DataFrame({"id": [], "tree": [], "bound": []})
+
+    return (
+        left.groupBy("part", "block")
+        .cogroup(right.groupBy("part", "block"))
+        .applyInPandas(bounds, "id long, tree int, bound double")
+    )
+
+
+def _searched(pages: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``query_id``, ``_vec``, ``score``: the best of the tree that each row of ``asked`` (``id``, ``v``, ``block``,
+    ``tree``, ``least``) names. Pages go only to blocks of queries that ask for their tree."""
+    left = pages.join(written(asked.select("tree", "block").distinct(), "cells"), "tree")
 
     def searched(pages: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, int]] = []
         if len(pages) and len(block):
             tree = Tree(pages)
-            for own, v in zip(block.id.tolist(), block.v, strict=True):
+            for own, v, least in zip(block.id.tolist(), block.v, block.least, strict=True):
                 query = np.zeros(tree.width)
                 query[: len(v)] = v[: tree.width]
-                found += [(own, vec, score) for vec, score in tree.search(query, own, k)]
+                least = -np.inf if least is None or np.isnan(least) else least
+                found += [(own, vec, score) for vec, score in tree.search(query, own, k, least)]
         return pd.DataFrame(found, columns=["query_id", "_vec", "score"])
 
-    found = (
+    return (
         left.groupBy("tree", "block")
-        .cogroup(right.groupBy("tree", "block"))
+        .cogroup(asked.groupBy("tree", "block"))
         .applyInPandas(searched, "query_id long, _vec long, score long")
     )
+
+
+def _ranked(found: DataFrame, k: int, id_col: str) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "_vec")
     return (
         found.withColumn("rank", F.row_number().over(best))

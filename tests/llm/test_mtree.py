@@ -78,3 +78,43 @@ def test_bounds_spare_products():
     assert {i for i, _ in tree.search(vectors[5], 5, 20)} == set(best.tolist()) - {5} or 5 not in best
     leaves = sum(len(x) > 0 for x in tree.ids)
     assert len(set(read)) < leaves
+
+
+def test_scores_beyond_doubles(spark):
+    rows = [(i, [float(2**24 + i), 1.0, float(2**23 - i % 3)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = got(mtree.top_k(df, df.where("vec_id % 10 = 0")))
+    assert max(score for *_, score in found) > 2**53
+    assert found == plain(rows, {0, 10, 20})
+
+
+def test_scores_beyond_a_long_are_an_error(spark):
+    rows = [(i, [float(2**30), 1.0]) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        mtree.top_k(df, df).collect()
+
+
+def test_repeated_ids_and_queries(spark):
+    rows = [(1, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [0.5, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id = 2")
+    found = got(mtree.top_k(df, asked.unionByName(asked)))
+    assert [(i, score) for _, _, i, score in found] == [(1, 3 * 4096), (1, 3 * 4096), (3, -2048)]
+
+
+def test_queries_go_only_to_trees_that_can_answer(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "TREE_ROWS", 50)
+    monkeypatch.setattr(mtree, "ROOT_BLOCK", 7)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 16)
+    source = np.random.default_rng(2)
+    centres = 40 * np.eye(4, 20)
+    rows = [(i, [float(x) for x in centres[i % 4] + 0.2 * source.standard_normal(20)]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent = []
+    searched = mtree._searched
+    monkeypatch.setattr(mtree, "_searched", lambda pages, asked, k: (sent.append(asked.count()), searched(pages, asked, k))[1])
+    found = got(mtree.top_k(df, df.where("vec_id % 10 = 0")))
+    assert found == plain(rows, {i for i in range(0, 1000, 10)})
+    trees = 1000 // 50  # at least
+    assert sent[0] == 100 and sum(sent) < 100 * trees / 2
