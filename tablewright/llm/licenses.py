@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import id_type, rows, utf8
 
 #: Phrases whose words stand one after the other, with their labels.
-PHRASES = {"mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+#: Shorter phrases that tell a label, too, but are no places of the ones above.
+MENTIONS = {"mit license": "mit"}
 #: Short notices in normalised form (words and single spaces), with their labels.
 NOTICES = {
     "released under the mit license": "mit",
@@ -193,31 +195,36 @@ def scan_licenses(
     text_col: str = "text",
     phrases: Mapping[str, str] = PHRASES,
     notices: Mapping[str, str] = NOTICES,
+    mentions: Mapping[str, str] = MENTIONS,
 ) -> DataFrame:
-    """One row per document: id, ``n_words``, ``exact`` and ``fuzzy``.
+    """One row per document: id, ``n_words``, ``exact``, ``fuzzy`` and ``mentioned``.
 
-    ``exact`` is an array of (first word, last word, label), one per place where a phrase stands; ``fuzzy`` an array
+    ``exact`` is an array of (first word, last word, label), one per place where a phrase stands, ``mentioned`` the
+    same of the mentions; ``fuzzy`` an array
     of (first word, last word, edits, letters, label), one per notice found with at most a tenth of its letters
     edited; of notices that overlap the closest. Words are numbered from 0. A NULL or empty text has none; repeated rows are scanned each; further
     columns are not read.
     """
     listed = tuple(notices.items())
+    places = pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64(), "label": pa.string()}))
+
+    def standing(joined: bytes, wanted: Mapping[str, str]) -> list[dict]:
+        return [
+            {"first": at, "last": at + phrase.count(" "), "label": label}
+            for phrase, label in wanted.items()
+            for at in phrase_places(joined, phrase.encode())
+        ]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = notice_search(listed)
         for batch in batches:
-            counts, exact, fuzzy = [], [], []
+            counts, exact, fuzzy, mentioned = [], [], [], []
             for _, text in rows([batch]):
                 words = text.translate(WORD_BYTES).split()
                 counts.append(len(words))
                 joined = b" " + b" ".join(words) + b" "
-                exact.append(
-                    [
-                        {"first": at, "last": at + phrase.count(" "), "label": label}
-                        for phrase, label in phrases.items()
-                        for at in phrase_places(joined, phrase.encode())
-                    ]
-                )
+                exact.append(standing(joined, phrases))
+                mentioned.append(standing(joined, mentions))
                 plain = joined.decode("utf-8", "replace")
                 near = []
                 before, at = -1, 0
@@ -234,7 +241,7 @@ def scan_licenses(
                 [
                     batch.column(0),
                     pa.array(counts, pa.int64()),
-                    pa.array(exact, pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64(), "label": pa.string()}))),
+                    pa.array(exact, places),
                     pa.array(
                         fuzzy,
                         pa.list_(
@@ -249,8 +256,9 @@ def scan_licenses(
                             )
                         ),
                     ),
+                    pa.array(mentioned, places),
                 ],
-                ["_id", "n_words", "exact", "fuzzy"],
+                ["_id", "n_words", "exact", "fuzzy", "mentioned"],
             )
 
     return (
@@ -258,7 +266,8 @@ def scan_licenses(
         .mapInArrow(
             scanned,
             f"_id {id_type(docs, id_col)}, n_words long, exact array<struct<first:long,last:long,label:string>>, "
-            "fuzzy array<struct<first:long,last:long,edits:int,letters:int,label:string>>",
+            "fuzzy array<struct<first:long,last:long,edits:int,letters:int,label:string>>, "
+            "mentioned array<struct<first:long,last:long,label:string>>",
         )
         .withColumnRenamed("_id", id_col)
     )

@@ -65,8 +65,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score is 1 where a phrase stands, else the best notice's share of letters that are not edited."""
-    exact, fuzzy = F.col("exact"), F.col("fuzzy")
+    """The score is 1 where a phrase or mention stands, else the best notice's share of letters that are not edited."""
+    exact, fuzzy, mentioned = F.col("exact"), F.col("fuzzy"), F.col("mentioned")
 
     def labels(*found):
         return F.array_join(F.array_sort(F.array_distinct(F.concat(*(x["label"] for x in found)))), ",")
@@ -79,8 +79,8 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min(exact["first"]).alias("first_word"),
         F.array_max(exact["first"]).alias("last_word"),
         labels(exact).alias("base_labels"),
-        labels(exact, fuzzy).alias("labels"),
-        F.when(F.size(exact) > 0, 1.0).otherwise(F.coalesce(similar, F.lit(0.0))).alias("score"),
+        labels(exact, fuzzy, mentioned).alias("labels"),
+        F.when(F.size(exact) + F.size(mentioned) > 0, 1.0).otherwise(F.coalesce(similar, F.lit(0.0))).alias("score"),
     )
 
 

@@ -146,3 +146,25 @@ def test_matches_equal_a_search_of_the_whole_text(seed):
     got = [(edits, start) for start, _, n, edits in search.matches(text) if n == number]
     assert sorted(edits for edits, _ in got) == sorted(edits for edits, _ in wanted)
     assert all(abs(a - b) <= 3 for (_, a), (_, b) in zip(sorted(got, key=lambda x: x[1]), sorted(wanted, key=lambda x: x[1]), strict=True))
+
+
+def test_base_phrases_of_the_query(spark, tmp_path):
+    """The base phrase is "under the mit license"; "mit license" by itself adds a label and is no base place."""
+    texts = {
+        1: "mit license here, and there under the MIT License; under the mit-license",
+        2: "The MIT License",
+        3: "Apache License, Version 2.0, CC BY-NC 4.0, under  the\nmit license",
+        4: "under the mitt license cc by ncc",
+        5: None,
+    }
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries.op5_license_scans(spark, str(tmp_path)).collect()}
+    base = {i: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for i, r in rows.items()}
+    assert base == {
+        1: (13, 2, 5, 9, "mit"),
+        2: (3, 0, None, None, ""),
+        3: (14, 3, 0, 10, "apache-2,cc-by-nc,mit"),
+        4: (7, 0, None, None, ""),
+        5: (0, 0, None, None, ""),
+    }
+    assert (rows[2].labels, rows[2].score) == ("mit", 1.0) and (rows[5].labels, rows[5].score) == ("", 0.0)
