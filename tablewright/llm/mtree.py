@@ -5,13 +5,15 @@ need, so copies of one vector fill several trees. A tree's nodes are rows of a t
 covering radius, the distance to the parent's routing object, and either children or at most ``PAGE`` entries with
 their distances to the routing object. For a query q and a ball of radius r around c, no inner product exceeds
 ``q·c + |q| r``; and q·c itself is at most ``q·p + |q| d(p, c)`` for the parent p. So a child, and an entry of a
-page, is passed over without computing anything for it where the stored distance already rules it out.
+page, is passed over without computing anything for it where the stored distance already rules it out. A tree is
+searched by a block of queries at once: a node is opened by those that its ball may still serve, in one product of
+matrices.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,6 +108,68 @@ class Tree:
         self.ids = [np.frombuffer(x, "int64") for x in pages.ids]
         self.entries = [np.frombuffer(x, "float64").reshape(-1, width) for x in pages.entries]
         self.distances = [np.frombuffer(x, "float64") for x in pages.distances]
+        self.largest = max((float(np.abs(x).max(initial=0)) for x in self.entries), default=0.0)
+
+    def search_block(
+        self, asked: np.ndarray, own: np.ndarray, k: int, least: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``search``, for each row of ``asked``: (number of the query, id, score) of the best.
+
+        Nodes are opened in the order of the best bound that any query has for them.
+        """
+        if self.width * self.largest * float(np.abs(asked).max(initial=0)) >= 1 << 52:  # doubles could round a sum
+            found = [self.search(*row, k, reach) for row, reach in zip(zip(asked, own, strict=True), least, strict=True)]
+            flat = [(row, *pair) for row, pairs in enumerate(found) for pair in pairs]
+            return tuple(np.array([x[part] for x in flat], "int64") for part in range(3))
+        lengths = np.linalg.norm(asked, axis=1)
+        slack = SLACK * (1 + lengths * (1 + float(np.abs(self.centres).max(initial=0)) * self.width))
+        least = least.astype("float64")
+        rows, ids, scores = np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0)
+        products = asked @ self.centres[0]
+        waiting = [(0.0, 0, np.arange(len(asked)), products)]
+        while waiting:
+            _, node, who, products = heapq.heappop(waiting)
+            open_ = products + lengths[who] * self.radius[node] + slack[who] >= least[who]
+            who, products = who[open_], products[open_]
+            if not len(who):
+                continue
+            base, length, needed = (products + slack[who])[:, None], lengths[who][:, None], least[who][:, None]
+            children = self.children[node]
+            if len(children):
+                # Stored distances first: no product with a child that they rule out for all queries.
+                may = base + length * (self.above[children] + self.radius[children]) >= needed
+                some = np.flatnonzero(may.any(axis=0))
+                inner = asked[who] @ self.centres[children[some]].T
+                bounds = inner + length * self.radius[children[some]] + slack[who][:, None]
+                may = may[:, some] & (bounds >= needed)
+                for place, child in enumerate(children[some].tolist()):
+                    mine = may[:, place]
+                    if mine.any():
+                        best = float(bounds[mine, place].max())
+                        heapq.heappush(waiting, (-best, child, who[mine], inner[mine, place]))
+                continue
+            may = (base + length * self.distances[node] >= needed).any(axis=0)
+            page, page_ids = self.entries[node], self.ids[node]
+            if not may.all():
+                page, page_ids = page[may], page_ids[may]
+            if not len(page):
+                continue
+            found = asked[who] @ page.T
+            found[page_ids == own[who][:, None]] = -np.inf
+            if len(page) > k:
+                needed = np.maximum(needed, np.partition(found, len(page) - k, axis=1)[:, -k, None])
+            row, at = np.nonzero((found >= needed) & (found > -np.inf))
+            if not len(row):
+                continue
+            rows, ids = np.concatenate([rows, who[row]]), np.concatenate([ids, page_ids[at]])
+            scores = np.concatenate([scores, found[row, at]])
+            order = np.lexsort((ids, -scores, rows))
+            rank = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+            kept = order[rank < k]
+            last = order[rank == k - 1]
+            least[rows[last]] = np.maximum(least[rows[last]], scores[last])
+            rows, ids, scores = rows[kept], ids[kept], scores[kept]
+        return rows, ids, scores.astype("int64")
 
     def search(self, query: np.ndarray, own: int, k: int, least: float = -np.inf) -> list[tuple[int, int]]:
         """The ``k`` best (id, score) without the query's own row, of those that reach ``least``; ties go to smaller ids."""
@@ -245,6 +309,20 @@ def top_k(
     return _ranked(first.unionByName(further), k, id_col)
 
 
+def _padded(vectors: Iterable[np.ndarray], width: int) -> np.ndarray:
+    """The vectors as rows of a matrix, with zeros behind them; what lies beyond its width is cut."""
+    vectors = list(vectors)
+    out = np.zeros((len(vectors), width))
+    for row, vector in zip(out, vectors, strict=True):
+        row[: len(vector)] = vector[:width]
+    return out
+
+
+def _reached(least: pd.Series) -> np.ndarray:
+    """The score that a query asks for; any, if it has none yet."""
+    return least.astype("float64").fillna(-np.inf).to_numpy()
+
+
 def _promising(roots: DataFrame, asked: DataFrame, trees: int) -> DataFrame:
     """``id``, ``tree`` and ``bound`` of the trees whose balls reach ``least`` of a query, or of the best ball of a
     block of trees where a query has no ``least`` and ``start`` yet. Blocks of balls meet blocks of queries."""
@@ -259,23 +337,20 @@ def _promising(roots: DataFrame, asked: DataFrame, trees: int) -> DataFrame:
     )
 
     def bounds(balls: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        found: list[pd.DataFrame] = []
         if len(balls) and len(block):
             centres = [np.frombuffer(x, "float64") for x in balls.centre]
             width = max(max(map(len, centres)), max(map(len, block.v)))
-            centres = np.array([np.pad(x, (0, width - len(x))) for x in centres])
-            largest = float(np.abs(centres).max(initial=0))
+            centres, asked = _padded(centres, width), _padded(block.v, width)
             radius, numbers = balls.radius.to_numpy(), balls.tree.to_numpy()
-            for own, v, least in zip(block.id.tolist(), block.v, block.least, strict=True):
-                query = np.pad(np.asarray(v, "float64"), (0, width - len(v)))
-                length = float(np.linalg.norm(query))
-                reach = centres @ query + length * radius + SLACK * (1 + length * (1 + largest * width))
-                if first:
-                    at = np.array([np.argmax(reach)])
-                else:
-                    at = np.flatnonzero(reach >= (-np.inf if least is None or np.isnan(least) else least))
-                found.append(pd.DataFrame({"id": own, "tree": numbers[at], "bound": reach[at]}))
-        return pd.concat(found) if found else pd.DataFrame({"id": [], "tree": [], "bound": []})
+            lengths = np.linalg.norm(asked, axis=1)[:, None]
+            largest = float(np.abs(centres).max(initial=0))
+            reach = asked @ centres.T + lengths * radius + SLACK * (1 + lengths * (1 + largest * width))
+            if first:
+                row, at = np.arange(len(block)), reach.argmax(axis=1)
+            else:
+                row, at = np.nonzero(reach >= _reached(block.least)[:, None])
+            return pd.DataFrame({"id": block.id.to_numpy()[row], "tree": numbers[at], "bound": reach[row, at]})
+        return pd.DataFrame({"id": [], "tree": [], "bound": []})
 
     return (
         left.groupBy("part", "block")
@@ -290,15 +365,11 @@ def _searched(pages: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     left = pages.join(written(asked.select("tree", "block").distinct(), "cells"), "tree")
 
     def searched(pages: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, int]] = []
         if len(pages) and len(block):
-            tree = Tree(pages)
-            for own, v, least in zip(block.id.tolist(), block.v, block.least, strict=True):
-                query = np.zeros(tree.width)
-                query[: len(v)] = v[: tree.width]
-                least = -np.inf if least is None or np.isnan(least) else least
-                found += [(own, vec, score) for vec, score in tree.search(query, own, k, least)]
-        return pd.DataFrame(found, columns=["query_id", "_vec", "score"])
+            tree, own = Tree(pages), block.id.to_numpy()
+            row, ids, scores = tree.search_block(_padded(block.v, tree.width), own, k, _reached(block.least))
+            return pd.DataFrame({"query_id": own[row], "_vec": ids, "score": scores})
+        return pd.DataFrame({"query_id": [], "_vec": [], "score": []})
 
     return (
         left.groupBy("tree", "block")

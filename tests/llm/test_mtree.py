@@ -1,7 +1,10 @@
 """Top-k against all products, and against the SQL twin."""
 
+import time
+
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from tablewright.llm import mtree, queries
@@ -118,3 +121,39 @@ def test_queries_go_only_to_trees_that_can_answer(spark, monkeypatch):
     assert found == plain(rows, {i for i in range(0, 1000, 10)})
     trees = 1000 // 50  # at least
     assert sent[0] == 100 and sum(sent) < 100 * trees / 2
+
+
+def tree_of(vectors):
+    return mtree.Tree(mtree._pages(pd.DataFrame({"id": range(len(vectors)), "v": list(vectors), "tree": 0})))
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 26])
+def test_a_block_of_queries_finds_what_each_finds(monkeypatch, scale):
+    monkeypatch.setattr(mtree, "PAGE", 16)
+    source = np.random.default_rng(5)
+    vectors = np.floor(source.standard_normal((700, 6)) * 4) * scale  # many ties
+    vectors[100:200] = vectors[7]
+    tree, own = tree_of(vectors), np.array([0, 7, 150, 699, 1000])
+    asked = np.vstack([vectors[own[:-1]], np.zeros((1, 6))])
+    least = np.array([-np.inf, -np.inf, 30.0 * scale**2, 1e300, -np.inf])
+    rows, ids, scores = tree.search_block(asked, own, 20, least)
+    for number in range(len(own)):
+        mine = sorted((-s, i) for r, i, s in zip(rows.tolist(), ids.tolist(), scores.tolist(), strict=True) if r == number)
+        products = [(-sum(int(a) * int(b) for a, b in zip(v, asked[number], strict=True)), i) for i, v in enumerate(vectors)]
+        assert mine == sorted(p for p in products if p[1] != own[number] and -p[0] >= least[number])[:20]
+
+
+def test_work_of_a_block_is_not_work_of_each_query():
+    """1,000 queries that no bound serves, against a tree of 8,000 vectors."""
+    source = np.random.default_rng(6)
+    vectors = np.floor(64 * source.standard_normal((8000, 64)))
+    tree = tree_of(vectors)
+    begin = time.process_time()
+    rows, ids, scores = tree.search_block(vectors[:1000], np.arange(1000), 20, np.full(1000, -np.inf))
+    block = time.process_time() - begin
+    begin = time.process_time()
+    each = [(i, *x) for i in range(200) for x in tree.search(vectors[i], i, 20)]
+    alone = (time.process_time() - begin) * 5
+    assert sorted(each) == sorted(x for x in zip(rows.tolist(), ids.tolist(), scores.tolist(), strict=True) if x[0] < 200)
+    print(block, alone)
+    assert block < alone
