@@ -55,7 +55,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), bigrams=True)
     return scored.select(
         "doc_id",
         (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"),

@@ -2,12 +2,11 @@
 
 Either class has an interpolated Kneser-Ney model of words: words back off to their first bytes, and these to shared
 continuation counts: in how many words of either class they occur. A rare word therefore differs between the
-classes by what its beginning tells, and one never seen by almost nothing. Bigrams that back off to words can be
-added; on labels that hang on single expressions they cost more than they tell, so they are left out unless asked
-for. A text is
-judged by the difference of the two log-likelihoods per word, over the whole text and over its worst windows, so
-that a few expressions are not diluted by length; a logistic curve, fitted on rows that the counts have not seen,
-turns these into a probability.
+classes by what its beginning tells, and one never seen by almost nothing. With ``bigrams`` either class also has a
+bigram model, which backs off to how many words a word follows. A text is judged by the difference of the two
+log-likelihoods per word, over the whole text and over its worst windows, so that a few expressions are not diluted by
+length, for each order; a logistic curve, fitted on rows that the counts have not seen, turns these into a
+probability, so that labels that hang on single expressions lose nothing to the bigrams.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,8 @@ from tablewright.llm.common import id_remainder, rows, utf8, written
 #: Labelled rows, on average, from which a model is fitted; a quarter of them fits the curve.
 SAMPLE_ROWS = 40_000
 CURVE_SHARE = 4
-#: Entries of each table that goes to the tasks (log ratios of words, beginnings and bigrams): 20 MB in all at most.
+#: Entries of each table that goes to the tasks (log ratios of words, beginnings, bigrams and their parts): 30 MB in all
+#: at most.
 TABLE_ENTRIES = 131_072
 #: Longer expressions are left to their beginnings.
 KEY_BYTES = 48
@@ -56,6 +57,7 @@ class Ratios:
     words: dict[bytes, float] = field(default_factory=dict)
     backoffs: dict[bytes, float] = field(default_factory=dict)
     bigrams: dict[bytes, float] = field(default_factory=dict)
+    continued: dict[bytes, float] = field(default_factory=dict)
     beginnings: list[dict[bytes, float]] = field(default_factory=lambda: [{} for _ in BEGINNINGS])
     unseen: float = 0.0
     curve: np.ndarray | None = None
@@ -71,22 +73,30 @@ class Ratios:
             return self.unseen
         return found
 
+    @property
+    def n_features(self) -> int:
+        return (len(WINDOWS) + 1) * (2 if self.bigrams else 1) + 1
+
     def features(self, words: list[bytes]) -> list[float]:
-        """Mean ratio per word, the largest means of windows, and the logarithm of the length."""
+        """Mean ratio per word and the largest means of windows, by words and by bigrams; the logarithm of the length."""
         if not words:
-            return [0.0] * (len(WINDOWS) + 2)
+            return [0.0] * self.n_features
         known = _Known(self)
         ratio = np.fromiter(map(known.__getitem__, words), "float64", len(words))
+        ratios = [ratio]
         if self.bigrams:
             pairs = list(map(self.bigrams.get, map(b" ".join, zip(words, words[1:], strict=False))))
-            after = np.fromiter(map(self.backoffs.get, words[:-1], [0.0] * len(pairs)), "float64", len(pairs))
-            ratio[1:] += after
+            after = np.fromiter(map(self.backoffs.get, words[:-1], repeat(0.0)), "float64", len(pairs))
+            follow = np.fromiter(map(self.continued.get, words[1:], ratio[1:].tolist()), "float64", len(pairs))
+            ratios.append(np.concatenate([ratio[:1], after + follow]))
             for at in [k for k, pair in enumerate(pairs) if pair is not None]:
-                ratio[at + 1] = pairs[at]
-        sums = np.concatenate([[0.0], np.cumsum(ratio)])
-        wide = [min(window, len(words)) for window in WINDOWS]
-        worst = [float((sums[k:] - sums[:-k]).max()) / k for k in wide]
-        return [float(ratio.mean()), *worst, math.log1p(len(words))]
+                ratios[1][at + 1] = pairs[at]
+        out = []
+        for own in ratios:
+            sums = np.concatenate([[0.0], np.cumsum(own)])
+            wide = [min(window, len(words)) for window in WINDOWS]
+            out += [float(own.mean()), *(float((sums[k:] - sums[:-k]).max()) / k for k in wide)]
+        return [*out, math.log1p(len(words))]
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         """Of a batch of rows of features."""
@@ -198,31 +208,49 @@ def fit_ratios(labelled: DataFrame, bigrams: bool = False) -> Ratios:
         lost = tuple(x * mass[n, c] for x, c in zip(lost, classes, strict=True))
         lost_below.append(lost)
     ratios.unseen = math.log(lost_below[-1][1] / lost_below[-1][0])
-    tables = {last: level}
-    for n in range(last - 1, 0, -1):
-        length = BEGINNINGS[n - 1]
-        below = level.select(F.col("key").alias("below"), *(F.col(f"p_{c}").alias(f"b_{c}") for c in classes))
-        own = counts.where(F.col("n") == n).withColumn("below", F.substring("key", 1, length))
+
+    def interpolated(own: DataFrame, lower: DataFrame, length: int, total, *kept: str) -> DataFrame:
+        """Discounted counts of ``own``, and what they lose spread over the types that share a beginning."""
+        own = own.withColumn("below", F.substring("key", 1, length))
         spread = own.groupBy("below").agg(F.count("*").alias("under"))
-        level = (
+        below = lower.select(F.col("key").alias("below"), *(F.col(f"p_{c}").alias(f"b_{c}") for c in classes))
+
+        def interpolation(c: str) -> Column:
+            lost = DISCOUNT * total[f"{c}_types"] / total[c]
+            return F.greatest(F.col(c) - DISCOUNT, F.lit(0)) / total[c] + lost * F.col(f"b_{c}") / (F.col("under") + 1)
+
+        return (
             own.join(spread, "below")
             .join(below, "below")
             .select(
                 "key",
                 (F.col("ordinary") + F.col("toxic")).alias("seen"),
-                *(
-                    (discounted(n, c) + mass[n, c] * F.col(f"b_{c}") / (F.col("under") + 1)).alias(f"p_{c}")
-                    for c in classes
-                ),
-                *(classes if n == 1 else ()),
+                *(interpolation(c).alias(f"p_{c}") for c in classes),
+                *kept,
             )
         )
+
+    tables = {last: level}
+    for n in range(last - 1, 0, -1):
+        level = interpolated(
+            counts.where(F.col("n") == n), tables[n + 1], BEGINNINGS[n - 1], totals[n], *(classes if n == 1 else ())
+        )
         tables[n] = level = written(level, "class-level")
     for place, n in enumerate(range(2, last + 1)):
         ratios.beginnings[place] = _top(tables[n], ratio(lost_below[place]))
     ratios.words = _top(tables[1].where("seen > 1"), ratio())
     if bigrams:
-        _add_bigrams(ratios, counts.where("n = 0 and ordinary + toxic > 2"), tables[1])
+        pairs = counts.where("n = 0")
+        follow = pairs.select(
+            F.substring_index(F.col("key").cast("string"), " ", -1).cast("binary").alias("key"),
+            *((F.col(c) > 0).cast("int").alias(c) for c in classes),
+        )
+        follow = follow.groupBy("key").agg(*(F.sum(c).alias(c) for c in classes))
+        total = follow.agg(*(F.sum(c).alias(c) for c in classes), *(F.count_if(F.col(c) > 0).alias(f"{c}_types") for c in classes)).first()
+        if total.ordinary and total.toxic:
+            continued = written(interpolated(follow, tables[2], BEGINNINGS[0], total), "class-continued")
+            ratios.continued = _top(continued, ratio())
+            _add_bigrams(ratios, pairs.where("ordinary + toxic > 2"), tables[1], continued)
     _fit_curve(ratios, labelled.where("_curve"))
     return ratios
 
@@ -233,8 +261,9 @@ def _top(table: DataFrame, value: Column) -> dict[bytes, float]:
     return dict(zip(found["key"].to_pylist(), found["value"].to_pylist(), strict=True))
 
 
-def _add_bigrams(ratios: Ratios, bigrams: DataFrame, words: DataFrame) -> None:
-    """Ratios of frequent bigrams, and for each first word what its other followers are left with."""
+def _add_bigrams(ratios: Ratios, bigrams: DataFrame, words: DataFrame, continued: DataFrame) -> None:
+    """Ratios of frequent bigrams, and for each first word what its other followers are left with; ``continued`` has
+    the probabilities of words as followers of any word."""
     text = F.col("key").cast("string")
     parts = bigrams.select(
         F.substring_index(text, " ", 1).cast("binary").alias("first"),
@@ -243,7 +272,7 @@ def _add_bigrams(ratios: Ratios, bigrams: DataFrame, words: DataFrame) -> None:
         *(F.col(c).alias(f"n_{c}") for c in ("ordinary", "toxic")),
     )
     firsts = words.select(F.col("key").alias("first"), *(F.col(c).alias(f"f_{c}") for c in ("ordinary", "toxic")))
-    seconds = words.select(F.col("key").alias("second"), "p_ordinary", "p_toxic")
+    seconds = continued.select(F.col("key").alias("second"), "p_ordinary", "p_toxic")
 
     def taken(c: str) -> Column:
         return F.coalesce(F.greatest(F.col(f"n_{c}") - DISCOUNT, F.lit(0)) / _kept_mass(F.col(f"f_{c}")), F.lit(0))
@@ -365,7 +394,7 @@ def probability_column(spark: SparkSession, ratios: Ratios) -> Callable[[Column]
     @F.pandas_udf("double")
     def probability(texts: pd.Series) -> pd.Series:
         found = [shared.value.features(words_of(text)) for text in texts]
-        return pd.Series(shared.value.probability(np.array(found).reshape(-1, len(WINDOWS) + 2)))
+        return pd.Series(shared.value.probability(np.array(found).reshape(-1, shared.value.n_features)))
 
     return lambda text: probability(utf8(text))
 
