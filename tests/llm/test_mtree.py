@@ -155,5 +155,4 @@ def test_work_of_a_block_is_not_work_of_each_query():
     each = [(i, *x) for i in range(200) for x in tree.search(vectors[i], i, 20)]
     alone = (time.process_time() - begin) * 5
     assert sorted(each) == sorted(x for x in zip(rows.tolist(), ids.tolist(), scores.tolist(), strict=True) if x[0] < 200)
-    print(block, alone)
     assert block < alone
