@@ -18,7 +18,7 @@ neither the partitioning nor the size of the table of frequent words changes a s
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import compress, repeat
 from typing import NamedTuple
 
@@ -51,6 +51,8 @@ STEPS = 1 << 32
 #: Words that the mixer sees before its weights change, and its rate.
 MINIBATCH = 8192
 RATE = 1.0
+#: Words that are spelled, or whose bits are gathered, abreast.
+SPELLED = 1 << 16
 #: Predictions are stretched no further, and weights stay in this range.
 STRETCH = 8.0
 WEIGHTS = (-0.5, 2.0)
@@ -67,9 +69,12 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Bits(NamedTuple):
-    """The same bit of many words: which words, slots per order (order, word), the bit, and its place in the byte."""
+    """The same bit of many words, those with the same contexts and byte as one: which words, which of the ones each
+    is, how many each stands for, slots per order (order, one), the bit, and its place in the byte."""
 
     words: np.ndarray
+    one: np.ndarray
+    times: np.ndarray
     slots: np.ndarray
     bit: np.ndarray
     place: int
@@ -97,15 +102,17 @@ def bits_of(words: list[bytes]) -> tuple[Iterator[Bits], np.ndarray, np.ndarray]
         salts = (np.arange(1, len(ORDERS) + 1, dtype="uint64") * MULTIPLIERS[2])[:, None]
         for j in range(width):
             n = active[j]
-            letter = letters[:n, j].astype("uint64")
-            context = (history[:n] & masks) * MULTIPLIERS[0] + salts
-            node = np.ones(n, "uint64")
+            key = history[:n] << np.uint64(8) | letters[:n, j].astype("uint64")
+            history[:n] = key & masks[-1]
+            key, one, times = np.unique(key, return_inverse=True, return_counts=True)
+            letter = key & np.uint64(255)
+            context = (key >> np.uint64(8) & masks) * MULTIPLIERS[0] + salts
+            node = np.ones(len(key), "uint64")
             for place in range(8):
                 slots = ((context ^ node * MULTIPLIERS[1]) * MULTIPLIERS[0]) >> np.uint64(64 - SLOT_BITS)
                 bit = letter >> np.uint64(7 - place) & np.uint64(1)
-                yield Bits(order[:n], slots.astype("int64"), bit.astype("int8"), place)
+                yield Bits(order[:n], one, times, slots.astype("int64"), bit.astype("int8"), place)
                 node = node << np.uint64(1) | bit
-            history[:n] = history[:n] << np.uint64(8) | letter
         return
 
     return each(), np.array(owner, "int64"), lengths
@@ -118,25 +125,58 @@ def _weight(counts: np.ndarray) -> np.ndarray:
 
 def gather_bits(words: list[bytes], counts: np.ndarray, table: np.ndarray) -> None:
     """Add the words' bits to the counts (order, 2 * slot + bit)."""
-    for start in range(0, len(words), MINIBATCH):
-        bits, owner, _ = bits_of(words[start : start + MINIBATCH])
-        weight = _weight(counts[start : start + MINIBATCH])[owner]
+    for start in range(0, len(words), SPELLED):
+        bits, owner, _ = bits_of(words[start : start + SPELLED])
+        weight = _weight(counts[start : start + SPELLED])[owner]
         for part in bits:
-            own = weight[part.words]
+            own = np.bincount(part.one, weight[part.words], len(part.bit)).astype("int32")
             for order, at in zip(table, 2 * part.slots + part.bit, strict=True):
                 np.add.at(order, at, own)
 
 
-def _predicted(table: np.ndarray, part: Bits, own: int) -> tuple[np.ndarray, np.ndarray]:
+def _stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -STRETCH, STRETCH)
+
+
+def _level(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.minimum(LEVELS - 1, np.log2(1 + zeros + ones) / 2)
+
+
+def _predicted(table: np.ndarray | Prepared, part: Bits, own: int) -> tuple[np.ndarray, np.ndarray]:
     """Stretched predictions (order, word) that the bit is 1, and the gate of each word; without the word's own count."""
+    if isinstance(table, Prepared):
+        at = 2 * part.slots + part.bit if own else part.slots
+        values = np.stack([row.take(place) for row, place in zip(table.stretched, at, strict=True)])
+        return values, table.level.take(at[GATE_ORDER]).astype("int64") * 8 + part.place
     pairs = np.stack([table[k][part.slots[k]] for k in range(len(ORDERS))]).astype("float32")
     pairs[:, np.arange(len(part.bit)), part.bit] -= own
     zeros, ones = np.maximum(pairs[..., 0], 0), np.maximum(pairs[..., 1], 0)
-    known = np.minimum(LEVELS - 1, np.log2(1 + zeros[GATE_ORDER] + ones[GATE_ORDER]) / 2).astype("int64")
-    return np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -STRETCH, STRETCH), known * 8 + part.place
+    known = _level(zeros[GATE_ORDER], ones[GATE_ORDER]).astype("int64")
+    return _stretched(zeros, ones), known * 8 + part.place
+
 
+class Prepared(NamedTuple):
+    """What ``_predicted`` makes of every slot (and, without a word's own count, of either bit)."""
 
-def learn_weights(words: list[bytes], table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    stretched: np.ndarray
+    level: np.ndarray
+
+
+def prepared(table: np.ndarray, own: int) -> Prepared:
+    """For many words; ``own`` as it is in ``_predicted``."""
+    width = 1 + bool(own)
+    out = np.empty((len(ORDERS), table.shape[1], width), "float32")
+    level = np.empty((table.shape[1], width), "int8")
+    for k, counts in enumerate(table):
+        for bit in range(width):
+            zeros, ones = (np.maximum(counts[:, j].astype("float32") - own * (bit == j), 0) for j in (0, 1))
+            out[k, :, bit] = _stretched(zeros, ones)
+            if k == GATE_ORDER:
+                level[:, bit] = _level(zeros, ones)
+    return Prepared(out.reshape(len(ORDERS), -1), level.ravel())
+
+
+def learn_weights(words: list[bytes], table: np.ndarray | Prepared, weights: np.ndarray) -> np.ndarray:
     """One online pass over words that occur once: each is predicted from the others, as a new one would be, and the
     weights follow its error."""
     for start in range(0, len(words), MINIBATCH):
@@ -144,9 +184,9 @@ def learn_weights(words: list[bytes], table: np.ndarray, weights: np.ndarray) ->
         for part in bits:
             stretched, gate = _predicted(table, part, 1)
             mixed = 1 / (1 + np.exp(-np.clip((weights[gate] * stretched.T).sum(1), -20, 20)))
-            level, pull = gate >> 3, (part.bit - mixed) * stretched
-            passed = np.bincount(level, minlength=LEVELS)
-            size = np.bincount(level, (stretched**2).mean(0), LEVELS)
+            level, pull = gate >> 3, part.times * (part.bit - mixed) * stretched
+            passed = np.bincount(level, part.times, LEVELS)
+            size = np.bincount(level, part.times * (stretched**2).mean(0), LEVELS)
             step = np.stack([np.bincount(level, row, LEVELS) for row in pull], 1) / (passed + size + 1e-9)[:, None]
             # A gate that few words pass moves little.
             own = slice(part.place, None, 8)
@@ -154,18 +194,19 @@ def learn_weights(words: list[bytes], table: np.ndarray, weights: np.ndarray) ->
     return weights
 
 
-def spelled(words: list[bytes], table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def spelled(words: list[bytes], table: np.ndarray | Prepared, weights: np.ndarray) -> np.ndarray:
     """log10 of the probability of each word's bytes and its end."""
     out = np.zeros(len(words))
-    for start in range(0, len(words), MINIBATCH):
-        part_words = words[start : start + MINIBATCH]
-        bits, owner, lengths = bits_of(part_words)
+    for start in range(0, len(words), SPELLED):
+        bits, owner, lengths = bits_of(words[start : start + SPELLED])
         total = np.zeros(len(lengths))
         for part in bits:
             stretched, gate = _predicted(table, part, 0)
             mixed = np.clip((weights[gate] * stretched.T).sum(1), -20, 20)
-            total[part.words] -= np.logaddexp(0, np.where(part.bit == 1, -mixed, mixed))
-        np.add.at(out[start : start + MINIBATCH], owner, total)
+            byte = -np.logaddexp(0, np.where(part.bit == 1, -mixed, mixed)) + (byte if part.place else 0)
+            if part.place == 7:
+                total[part.words] += byte[part.one]
+        np.add.at(out[start : start + SPELLED], owner, total)
     return out / np.log(10)
 
 
@@ -294,31 +335,50 @@ def _columns(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray]:
     return batch.column("word").to_pylist(), batch.column("count").to_numpy()
 
 
-def bit_counts(words: DataFrame) -> np.ndarray:
-    """Counts (order, slot, bit) over all training words; a table of fixed size."""
-    blocks = len(ORDERS) * (2 << SLOT_BITS) // BLOCK_SLOTS
+def by_significance(counts: np.ndarray) -> bytes:
+    """Lowest bytes first, then the next ones: the higher ones, nearly all of them zero, are compressed away."""
+    return np.ascontiguousarray(counts.view("uint8").reshape(-1, 4).T).tobytes()
+
+
+def from_significance(found: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(found, "uint8").reshape(4, -1).T).view("int32").ravel()
+
+
+def counts_of(parts: DataFrame, shape: tuple[int, int], add: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
+    """A table of fixed size that ``add`` counts in, added up over all tasks."""
+    blocks = shape[0] * shape[1] // BLOCK_SLOTS
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((len(ORDERS), 2 << SLOT_BITS), "int32")
+        table = np.zeros(shape, "int32")
         for batch in batches:
-            gather_bits(*_columns(batch), table)
+            add(batch, table)
         parts = table.reshape(blocks, BLOCK_SLOTS)
         used = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype("int32")), pa.array([parts[k].tobytes() for k in used], pa.binary())], ["block", "counts"]
+            [pa.array(used.astype("int32")), pa.array([by_significance(parts[k]) for k in used], pa.binary())],
+            ["block", "counts"],
         )
 
     def added(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "int32").astype("int64") for x in group["counts"])
+        total = sum(from_significance(x).astype("int64") for x in group["counts"])
         full = np.minimum(total, 2**31 - 1).astype("int32")
-        return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [full.tobytes()]})
+        return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [by_significance(full)]})
 
-    parts = words.where("count > 0").select("word", "count").mapInArrow(gathered, "block int, counts binary")
     table = np.zeros((blocks, BLOCK_SLOTS), "int32")
-    found = parts.groupBy("block").applyInPandas(added, "block int, counts binary").toArrow()
+    each = parts.mapInArrow(gathered, "block int, counts binary")
+    found = each.groupBy("block").applyInPandas(added, "block int, counts binary").toArrow()
     for block, counts in zip(found["block"].to_pylist(), found["counts"].to_pylist(), strict=True):
-        table[block] = np.frombuffer(counts, "int32")
-    return table.reshape(len(ORDERS), -1, 2)
+        table[block] = from_significance(counts)
+    return table.reshape(shape[0], -1, 2)
+
+
+def bit_counts(words: DataFrame) -> np.ndarray:
+    """Counts (order, slot, bit) over all training words."""
+    return counts_of(
+        words.where("count > 0").select("word", "count"),
+        (len(ORDERS), 2 << SLOT_BITS),
+        lambda batch, table: gather_bits(*_columns(batch), table),
+    )
 
 
 def in_mixed_order(words: list[bytes]) -> list[bytes]:
@@ -336,7 +396,8 @@ def mixing_weights(words: DataFrame, once: int, table) -> np.ndarray:
 
     def learned(group: pa.Table) -> pa.Table:
         own = in_mixed_order(group["word"].to_pylist())
-        steps = np.rint(learn_weights(own, table.value, even.copy()).ravel() * STEPS).astype("int64")
+        counts = prepared(table.value, 1) if len(own) > MINIBATCH else table.value
+        steps = np.rint(learn_weights(own, counts, even.copy()).ravel() * STEPS).astype("int64")
         return pa.table({"place": np.arange(even.size, dtype="int32"), "amount": steps * len(own)})
 
     shard = F.pmod(F.xxhash64("word"), F.lit(1 + once // SHARD_WORDS))
@@ -351,17 +412,23 @@ def mixing_weights(words: DataFrame, once: int, table) -> np.ndarray:
     return weights.reshape(even.shape)
 
 
-def spell_words(words: DataFrame, table, weights: np.ndarray) -> DataFrame:
-    """Add ``spelling``, the log10 probability by their bits, to the words that training texts lack."""
+def spell(words: DataFrame, table, weights: np.ndarray) -> DataFrame:
+    """Add ``spelling``, the log10 probability by their bits."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = None
         for batch in batches:
-            found = spelled(batch.column("word").to_pylist(), table.value, weights)
+            ready = ready or prepared(table.value, 0)
+            found = spelled(batch.column("word").to_pylist(), ready, weights)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "spelling"])
 
-    schema = "word binary, count long, every long, spelling double"
+    return words.mapInArrow(scored, "word binary, count long, every long, spelling double")
+
+
+def spell_words(words: DataFrame, table, weights: np.ndarray) -> DataFrame:
+    """Add ``spelling`` to the words that training texts lack."""
     known = words.where("count > 0").withColumn("spelling", F.lit(0.0))
-    return written(known.unionByName(words.where("count = 0").mapInArrow(scored, schema)), "spelled")
+    return written(known.unionByName(spell(words.where("count = 0"), table, weights)), "spelled")
 
 
 def score_texts(
@@ -393,7 +460,7 @@ def score_texts(
     known = context.broadcast(_frequent(vocabulary, totals))
     parts = written(_looked_up(texts, id_type(docs, id_col), known, totals), "texts")
     rare = parts.select("_row", F.explode("rare").alias("r")).select("_row", "r.*")
-    base, new = _column_base(totals), _column_new(totals)
+    base, new = column_base(totals), _column_new(totals)
     found = (
         rare.join(vocabulary, "word")
         .groupBy("_row")
@@ -433,7 +500,7 @@ def _frequent(vocabulary: DataFrame, totals: Totals) -> tuple[list, np.ndarray,
     return entries["word"].to_pylist(), count, totals.base(count), new, share
 
 
-def _column_base(totals: Totals) -> Column:
+def column_base(totals: Totals) -> Column:
     return F.log10((F.col("count") + 1) / F.lit(float(totals.tokens + totals.distinct + 1)))
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tablewright.llm.anchors import vector_codes
 from tablewright.llm.byte_bpe import encode_decode
 from tablewright.llm.common import id_remainder
+from tablewright.llm.context_mixing import score_texts
 from tablewright.llm.hypervectors import held_out_languages
 from tablewright.llm.licenses import scan_licenses
-from tablewright.llm.mixing_lm import score_texts
 from tablewright.llm.mtree import top_k
 from tablewright.llm.packing import pack
 from tablewright.llm import secrets
