@@ -20,17 +20,17 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import compress, repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm import mixing_lm
-from tablewright.llm.common import id_remainder, id_type, rows, utf8, written
+from tablewright.llm.common import id_remainder, id_type, utf8, written
 from tablewright.llm.mixing_lm import KEY_BYTES, MULTIPLIERS, Totals, words_of
 
 #: Words with a place in the tree: the most frequent ones of the training texts that occur twice, of KEY_BYTES at most.
@@ -53,10 +53,13 @@ MINIBATCH = 1 << 15
 WEIGHTS = (-1.0, 2.0)
 #: Bits whose errors are added up in one go.
 FLUSH = 1 << 17
+#: Of these, as many of one gate are worked through abreast.
+COLUMNS = 1 << 13
 #: Steps to one in which weights are added up.
 STEPS = 1 << 32
-#: Tokens that are worked through abreast.
+#: Tokens that are worked through abreast, and bytes of texts that are numbered in one go.
 ABREAST = 1 << 15
+SLICE = 1 << 22
 
 
 class Tree(NamedTuple):
@@ -95,41 +98,53 @@ def huffman(counts: list[int]) -> Tree:
     return Tree(code, length, child, ((own[:, 1] + 0.5) / (own.sum(1) + 1)).astype("float32"))
 
 
+def in_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the numbers (0 or more) stand, equal ones in their order; and the numbers in order."""
+    shift = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + shift < 64:
+        ordered = np.sort(key << shift | np.arange(len(key)))
+        return ordered & (1 << shift) - 1, ordered >> shift
+    order = np.argsort(key, kind="stable")
+    return order, key.take(order)
+
+
 class History:
-    """Counts of the bits that tokens of the same group had before, place by place down the tree.
+    """Of tokens with the same key: how many before each began with the same bits, and (``whole``) how many do in all.
 
-    ``step`` gives tokens, zeros and ones before each, and zeros and ones of its whole group. A group is split by
-    each bit; those of one token have nothing before them and are left out.
+    ``step`` goes one place down the tree: those with a zero come first, then those with a one, in the order that they
+    had, so that tokens with the same bits stay together. Tokens that are alone have none before them and are left out.
     """
 
-    def __init__(self, key: np.ndarray, place: np.ndarray, tree: Tree) -> None:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        sizes = np.diff(np.append(edges, len(key)))
-        keep = sizes > 1
-        self.tokens, self.sizes = place[order[np.repeat(keep, sizes)]], sizes[keep]
-        self.nodes, self.child = np.full(len(self.sizes), tree.root), tree.child
-
-    def step(self, bit: np.ndarray) -> tuple[np.ndarray, ...] | None:
-        if not len(self.sizes):
-            return None
-        sizes, own = self.sizes, bit.take(self.tokens)
-        starts = np.cumsum(sizes) - sizes
-        so_far = np.cumsum(own) - own
-        begin = np.repeat(starts, sizes)
-        ones_before = so_far - np.repeat(so_far[starts], sizes)
-        zeros_before = np.arange(len(own)) - begin - ones_before
-        ones = np.add.reduceat(own, starts)
-        zeros = sizes - ones
-        all_zeros = np.repeat(zeros, sizes)
-        found = self.tokens, zeros_before, ones_before, all_zeros, np.repeat(ones, sizes)
-        after = np.empty_like(self.tokens)
-        after[begin + zeros_before + own * (all_zeros + ones_before - zeros_before)] = self.tokens
-        split, nodes = np.stack([zeros, ones], 1).ravel(), self.child[self.nodes].ravel()
-        keep = (split > 1) & (nodes >= 0)
-        self.tokens, self.sizes, self.nodes = after[np.repeat(keep, split)], split[keep], nodes[keep]
-        return found
+    def __init__(self, key: np.ndarray, place: np.ndarray, whole: bool) -> None:
+        order, ordered = in_order(key)
+        self.whole = whole
+        self._count(place.take(order), ordered, 0, len(key))
+
+    def _count(self, tokens: np.ndarray, group: np.ndarray, border: int, n: int) -> None:
+        """``border``: where a group begins in any case; ``n``: tokens that are in the tree still."""
+        self.before, self.every = np.zeros(n, "float32"), np.ones(n, "float32") if self.whole else None
+        first = np.ones(len(tokens) + 1, bool)
+        np.not_equal(group[1:], group[:-1], out=first[1:-1])
+        first[border] = True
+        shared = ~(first[:-1] & first[1:])
+        self.tokens = tokens.compress(shared)
+        starts = np.flatnonzero(first[:-1].compress(shared))
+        sizes = np.diff(starts, append=len(self.tokens))
+        self.group = starts.repeat(sizes)
+        self.before[self.tokens] = np.arange(len(self.tokens)) - self.group
+        if self.whole:
+            self.every[self.tokens] = sizes.repeat(sizes)
+
+    def step(self, one: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the tokens whose next bit is given (the first of those so far): how many are before each and in all, as
+        they were and with that bit."""
+        n, before, every = len(one), self.before, self.every
+        active, own = self.tokens < n, one.take(self.tokens, mode="clip")
+        zeros, ones = active & ~own, active & own
+        tokens = self.tokens.compress(zeros)
+        group = np.concatenate([self.group.compress(zeros), self.group.compress(ones)])
+        self._count(np.concatenate([tokens, self.tokens.compress(ones)]), group, len(tokens), n)
+        return before[:n], self.before, every[:n] if self.whole else None, self.every
 
 
 class Stream(NamedTuple):
@@ -151,27 +166,31 @@ def stream(texts: list[np.ndarray], tree: Tree) -> Stream:
     second = np.concatenate([[none], before[:-1]])
     second[first] = none
     pair = text * (none + 1) + before
-    order = np.argsort(255 - tree.length[symbol], kind="stable")
+    # Those after the same word side by side: they share slots.
+    order, _ = in_order((255 - tree.length[symbol].astype("int64")) * (none + 1) + before)
+    at, of = in_order(pair)
+    group = np.empty(len(pair), "int64")
+    group[at] = np.cumsum(np.diff(of, prepend=-1) != 0)
     one = (before.astype("uint64") + np.uint64(1)) * MULTIPLIERS[0]
     two = (one ^ second.astype("uint64")) * MULTIPLIERS[2]
-    return Stream(order, text, symbol, [one[order], two[order]], [text, pair, pair * (none + 1) + second])
+    return Stream(order, text, symbol, [one[order], two[order]], [text, group, group * (none + 1) + second])
 
 
 def walked(tokens: Stream, tree: Tree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Place by place: the nodes of the tokens whose codes are that long, and their bits."""
-    symbol = tokens.symbol[tokens.order]
-    code, length = tree.code[symbol], tree.length[symbol].astype("int64")
+    symbol = tokens.symbol.take(tokens.order)
+    code, length = tree.code.take(symbol), tree.length.take(symbol)
     node, child = np.full(len(symbol), tree.root), tree.child.ravel()
-    for depth in range(int(length.max(initial=0))):
-        n = int(np.searchsorted(-length, -depth, "left"))
-        bit = (code[:n] >> np.uint64(63)).astype("int32")
-        yield node[:n], bit
-        code, node = code[:n] << np.uint64(1), child.take(2 * node[:n] + bit)
+    for n in len(symbol) - np.cumsum(np.bincount(length))[:-1]:
+        code, node = code[:n], node[:n]
+        bit = (code >> np.uint64(63)).view("int64")
+        yield node, bit
+        code, node = code << np.uint64(1), child.take(2 * node + bit)
 
 
 def slots_of(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     mixed = (context ^ node.astype("uint64") * MULTIPLIERS[1]) * MULTIPLIERS[0]
-    return (mixed >> np.uint64(64 - bits)).astype("int64")
+    return (mixed >> np.uint64(64 - bits)).view("int64")
 
 
 def gather(texts: list[np.ndarray], tree: Tree, counts: np.ndarray) -> None:
@@ -185,9 +204,26 @@ def gather(texts: list[np.ndarray], tree: Tree, counts: np.ndarray) -> None:
 
 def _smoothed(zeros: np.ndarray, ones: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stretched prediction from counts that start from a shorter context's chance; and its own chance."""
-    chance = PRIOR * np.clip(chance, SURE, 1 - SURE)
-    ones, zeros = ones + chance, zeros + (PRIOR - chance)
-    return np.log(ones / zeros), ones / (ones + zeros)
+    chance = np.maximum(chance, SURE)
+    np.minimum(chance, 1 - SURE, out=chance)
+    chance *= PRIOR
+    ones = ones + chance
+    zeros = zeros + np.subtract(PRIOR, chance, out=chance)
+    value = ones / zeros
+    zeros += ones
+    return np.log(value, out=value), np.divide(ones, zeros, out=zeros)
+
+
+def _ones(every: np.ndarray, same: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """How many of all have a one, by how many have the same bit and whether it is one."""
+    other = every - same
+    return other + one * (same - other)
+
+
+def _gates(one: np.ndarray, two: np.ndarray, own: np.ndarray) -> np.ndarray:
+    gate = (two > 0).view("int8") + (two > 2) + (two > 15)
+    gate = 4 * gate + (one > 0) + (one > 2) + (one > 15)
+    return 3 * gate + (own > 0) + (own > 2)
 
 
 def predictions(
@@ -203,53 +239,51 @@ def predictions(
     def each() -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
         place = np.empty(len(tokens.order), "int64")
         place[tokens.order] = np.arange(len(place))
-        histories = [History(key, place, tree) for key in tokens.keys]
+        histories = [History(key, place, apart and k > 0) for k, key in enumerate(tokens.keys)]
         stretched = np.log(tree.chance / (1 - tree.chance))
         for node, bit in walked(tokens, tree):
-            n = len(node)
+            n, one = len(node), bit.astype("float32")
             base = tree.chance.take(node)
-            found, inputs, seen = [h.step(bit) for h in histories], [stretched.take(node)], []
+            found, inputs, seen = [h.step(bit.astype(bool)) for h in histories], [stretched.take(node)], []
             chance = base
             for k, own in enumerate(table):
                 pair = own.take(slots_of(tokens.contexts[k][:n], node, bits))
                 zeros, ones = (pair & np.uint32(0xFFFF)).astype("float32"), (pair >> np.uint32(16)).astype("float32")
                 if apart:
-                    own_ones = bit.astype("float32")
-                    own_zeros = 1 - own_ones
-                    if found[1 + k] is not None:
-                        at, *_, own_zeros[at], own_ones[at] = found[1 + k]
-                    zeros, ones = np.maximum(zeros - own_zeros, 0), np.maximum(ones - own_ones, 0)
+                    *_, every, same = found[1 + k]
+                    own_ones = _ones(every, same, one)
+                    zeros, ones = np.maximum(zeros - (every - own_ones), 0), np.maximum(ones - own_ones, 0)
                 seen.append(zeros + ones)
                 value, chance = _smoothed(zeros, ones, chance)
                 inputs.append(value)
             chance = base
-            for k, part in enumerate(found):
-                if part is None:
-                    inputs.append(inputs[-1] if k else inputs[0])
-                    before = np.zeros(n, "float32")
-                else:
-                    zeros, ones = np.zeros(n, "float32"), np.zeros(n, "float32")
-                    zeros[part[0]], ones[part[0]] = part[1], part[2]
-                    value, chance = _smoothed(zeros, ones, chance)
-                    inputs.append(value)
-                    before = zeros + ones
-                if k == 1:
-                    seen.append(before)
-            one, two, own = seen
-            gate = (two > 0).astype("int8") + (two > 2) + (two > 15)
-            gate = 4 * gate + (one > 0) + (one > 2) + (one > 15)
-            yield inputs, 3 * gate + (own > 0) + (own > 2), bit
+            for before, same, *_ in found:
+                ones = _ones(before, same, one)
+                value, chance = _smoothed(before - ones, ones, chance)
+                inputs.append(value)
+            seen.append(found[1][0])
+            yield inputs, _gates(*seen), bit
 
     return tokens, each()
 
 
+def _logistic(total: np.ndarray) -> np.ndarray:
+    """In place: 1 / (1 + exp(-total)), stretched no further than ``STRETCH``."""
+    np.maximum(total, -STRETCH, out=total)
+    np.minimum(total, STRETCH, out=total)
+    np.exp(np.negative(total, out=total), out=total)
+    total += 1
+    return np.divide(1, total, out=total)
+
+
 def _mixed(inputs: list[np.ndarray], gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The chance of bit 1; weights (input, gate)."""
     weights = weights.astype("float32")
+    gate = gate.astype("int64")
     total = weights[0].take(gate) * inputs[0]
     for own, value in zip(weights[1:], inputs[1:], strict=True):
         total += own.take(gate) * value
-    return 1 / (1 + np.exp(-np.clip(total, -STRETCH, STRETCH).astype("float64")))
+    return _logistic(total.astype("float64"))
 
 
 def even_weights() -> np.ndarray:
@@ -295,16 +329,20 @@ def _learned(waiting: list[tuple], weights: np.ndarray, pull: np.ndarray, curve:
         return
     gate = np.concatenate([gate for _, gate, *_ in waiting])
     order = np.argsort(gate, kind="stable")
-    inputs = np.stack([np.concatenate(values).take(order) for values in zip(*(own for own, *_ in waiting), strict=True)])
+    inputs = np.empty((INPUTS, len(gate)))
+    for row, values in zip(inputs, zip(*(own for own, *_ in waiting), strict=True), strict=True):
+        row[:] = np.concatenate(values).take(order)
     bit = np.concatenate([bit for *_, bit, _ in waiting]).take(order)
     times = np.concatenate([times for *_, times in waiting]).take(order)
     edges = np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=GATES))])
-    for k in np.flatnonzero(np.diff(edges)):
-        own = slice(edges[k], edges[k + 1])
-        values = inputs[:, own].astype("float64")
-        chance = 1 / (1 + np.exp(-np.clip(weights[:, k] @ values, -STRETCH, STRETCH)))
-        pull[k] += values @ (times[own] * (bit[own] - chance))
-        curve[k] += values * (times[own] * chance * (1 - chance)) @ values.T
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        for start in range(edges[k], edges[k + 1], COLUMNS):
+            own = slice(start, min(start + COLUMNS, edges[k + 1]))
+            values = inputs[:, own]
+            chance = _logistic(weights[:, k] @ values)
+            pull[k] += values @ (times[own] * (bit[own] - chance))
+            values *= np.sqrt(times[own] * chance * (1 - chance))
+            curve[k] += values @ values.T
 
 
 def costs(texts: list[np.ndarray], tree: Tree, table: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -314,7 +352,9 @@ def costs(texts: list[np.ndarray], tree: Tree, table: np.ndarray, weights: np.nd
         tokens, each = predictions(part, tree, table, False)
         product = np.ones(len(tokens.order))
         for inputs, gate, bit in each:
-            product[: len(bit)] *= np.abs(1 - bit - _mixed(inputs, gate, weights))
+            chance = _mixed(inputs, gate, weights)
+            chance -= 1 - bit
+            product[: len(bit)] *= np.abs(chance, out=chance)
         logs = np.empty(len(product))
         logs[tokens.order] = np.log10(product)
         out.append(np.bincount(tokens.text, logs, len(part)))
@@ -422,7 +462,7 @@ def score_texts(
     )
     known = context.broadcast(
         (
-            coded["word"].to_pylist() + looked["word"].to_pylist(),
+            pa.concat_arrays([coded["word"].combine_chunks(), looked["word"].combine_chunks()]),
             np.array(counts + looked["count"].to_pylist(), "int64"),
             looked["spelling"].to_numpy(),
         )
@@ -463,51 +503,57 @@ def _numbered(texts: DataFrame, kind: str, known, totals: Totals) -> DataFrame:
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, count, spelling = known.value
-        number = dict(zip(entries, range(len(entries)), strict=True))
-        base, coded = totals.base(count), len(count) - len(spelling)
+        base, coded = np.append(totals.base(count), 0.0), len(count) - len(spelling)
+        listed, spelling = np.append(count > 0, False), np.append(spelling, 0.0)
         end_base = float(totals.base(np.array(totals.texts)))
-        for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            flags, rare, rare_times, ends = [], [], [], [0]
-            for _, _, text in rows([batch]):
-                words = words_of(text)
-                place = np.fromiter(map(number.get, words, repeat(-1)), "int64", len(words))
-                apart = (place < 0) | (place >= coded)
-                others = list(compress(words, apart.tolist()))
-                order = dict.fromkeys(others)
-                codes = np.fromiter(map(dict(zip(order, range(len(order)), strict=True)).__getitem__, others), "int64", len(others))
-                at = np.fromiter(map(number.get, order, repeat(-1)), "int64", len(order))
-                listed = place[place >= 0]
-                flags.append(mixing_lm._first_flags(codes))
-                values = (
-                    len(words) + 1,
-                    int(np.count_nonzero(count[listed])) + (totals.texts > 0),
-                    float(base[listed].sum()) + end_base,
-                    float(spelling[at[at >= 0] - coded].sum()) + mixing_lm.repeat_cost(codes),
-                    len(text),
-                    np.append(np.where(apart, coded, place), coded + 1).astype("int32").tobytes(),
-                )
-                for column, value in zip(columns, values, strict=True):
-                    column.append(value)
-                rare += compress(order, (at < 0).tolist())
-                rare_times.append(np.bincount(codes, minlength=len(order))[at < 0])
-                ends.append(len(rare))
-            score = np.array(columns[3]) + mixing_lm.novelty_cost(flags)
+        for batch in mixing_lm.in_slices(batches, "_text", SLICE):
+            words, sizes = mixing_lm.split_words(batch.column("_text"))
+            texts, ends = len(sizes), np.cumsum(sizes)
+            text = np.repeat(np.arange(texts), sizes)
+            place = pc.index_in(words, entries).fill_null(-1).to_numpy().astype("int64")
+
+            def summed(values: np.ndarray, text: np.ndarray) -> np.ndarray:
+                return np.bincount(text, values, texts).astype("float64")  # noqa: B023
+
+            symbols = np.full(len(words) + texts, coded + 1, "int32")
+            leaf = np.minimum(place.view("uint64"), np.uint64(coded)).astype("int32")
+            symbols[np.arange(len(words)) + text] = leaf
+            offsets = np.concatenate([[0], 4 * (ends + np.arange(1, texts + 1))]).astype("int32")
+
+            # The words without a place, and each of them in a text once.
+            apart = np.flatnonzero(leaf == coded)
+            others, owner = words.take(pa.array(apart)), text[apart]
+            number = others.dictionary_encode()
+            order, ordered = in_order(owner * len(number.dictionary) + number.indices.to_numpy().astype("int64"))
+            starts = np.flatnonzero(np.diff(ordered, prepend=-1))
+            first, times = order[starts], np.diff(starts, append=len(order))
+            at, whose = place[apart[first]], owner[first]
+            new = np.zeros(len(apart), bool)
+            new[first] = True
+            found = np.bincount(owner, minlength=texts)
+            so_far = np.arange(len(apart)) - np.repeat(np.cumsum(found) - found, found)
+            # A word's tokens have 0, 1, 2 and so on of it before them: the product is a factorial.
+            factorials = np.cumsum(np.log10(np.maximum(1, np.arange(times.max(initial=1)))))
+            score = summed(spelling[np.maximum(at - coded, -1)] + factorials[times - 1], whose)
+            score -= summed(np.log10(np.where(new, 1, so_far)), owner)
+            score += mixing_lm.novelty_cost(np.split(new, np.cumsum(found)[:-1]))
+
+            rare = at < 0
             missing = pa.StructArray.from_arrays(
-                [pa.array(rare, pa.binary()), pa.array(np.concatenate([np.empty(0, "int64"), *rare_times]))],
-                ["word", "times"],
+                [others.take(pa.array(first[rare])), pa.array(times[rare])], ["word", "times"]
             )
+            rare_ends = np.cumsum(np.bincount(whose[rare], minlength=texts))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.float64()),
-                    pa.array(score, pa.float64()),
-                    pa.array(columns[4], pa.int64()),
-                    pa.array(columns[5], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), missing),
+                    pa.array(sizes + 1, pa.int64()),
+                    pa.array(summed(listed[place], text).astype("int64") + (totals.texts > 0)),
+                    pa.array(summed(base[place], text) + end_base),
+                    pa.array(score),
+                    pc.binary_length(batch.column(2)).cast(pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), texts, [None, pa.py_buffer(offsets), pa.py_buffer(symbols)]),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, rare_ends), pa.int32()), missing),
                 ],
                 ["_id", "_train", "n_tokens", "n_known", "base_score", "score", "n_bytes", "symbols", "rare"],
             )

@@ -17,7 +17,6 @@ neither the partitioning nor the size of the table of frequent words changes a s
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import compress, repeat
 from typing import NamedTuple
@@ -25,6 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,8 @@ MARK = 32
 #: Words of the broadcast table, beside those that leave a share, and their largest size: 12 MB in all at most.
 TABLE_ENTRIES = 131_072
 KEY_BYTES = 48
-COUNTER_ENTRIES = 300_000
+#: Bytes of texts whose words are counted in one go.
+SLICE = 1 << 25
 #: The most frequent words of the training texts, of that size at most, that leave their share to new ones.
 LEAVING = 32_768
 #: Words, on average, from which the mixer learns in one go, and the steps to one in which its weights are added up.
@@ -68,6 +69,30 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """As ``words_of``: the words of all texts, one after the other, and how many each text has."""
+    plain = pa.Array.from_buffers(pa.string(), len(texts), [None, *texts.buffers()[1:]], offset=texts.offset)
+    found = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+    words, sizes = found.flatten().cast(pa.binary()), np.diff(found.offsets.to_numpy())
+    filled = pc.binary_length(words).to_numpy() > 0
+    if not filled.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes).compress(filled), minlength=len(sizes))
+        words = words.filter(pa.array(filled))
+    return words, sizes
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows with so many bytes at most in a binary column; a longer value is alone."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype("int64"))
+        start = 0
+        while start < batch.num_rows:
+            before = sizes[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, before + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 class Bits(NamedTuple):
     """The same bit of many words, those with the same contexts and byte as one: which words, which of the ones each
     is, how many each stands for, slots per order (order, one), the bit, and its place in the byte."""
@@ -82,27 +107,24 @@ class Bits(NamedTuple):
 
 def bits_of(words: list[bytes]) -> tuple[Iterator[Bits], np.ndarray, np.ndarray]:
     """The bits of words cut into pieces, abreast; with the word of each piece and the number of bytes."""
-    pieces, owner = [], []
-    for number, word in enumerate(words):
-        marked = word + bytes([MARK])
-        cut = [marked[k : k + PIECE] for k in range(0, len(marked), PIECE)]
-        pieces += cut
-        owner += [number] * len(cut)
-    lengths = np.fromiter(map(len, pieces), "int64", len(pieces))
+    marked = np.fromiter(map(len, words), "int64", len(words)) + 1
+    letters = np.frombuffer(bytes([MARK]).join([*words, b""]), "uint8")
+    cut = -(-marked // PIECE)
+    owner = np.repeat(np.arange(len(words)), cut)
+    lengths = np.full(len(owner), PIECE)
+    lengths[np.cumsum(cut) - 1] = marked - PIECE * (cut - 1)
     order = np.argsort(-lengths, kind="stable")
+    starts = (np.cumsum(lengths) - lengths)[order]
     width = int(lengths.max(initial=0))
-    letters = np.zeros((len(pieces), width), "uint8")
-    for row, at in enumerate(order.tolist()):
-        letters[row, : lengths[at]] = np.frombuffer(pieces[at], "uint8")
-    active = [int(np.searchsorted(-lengths[order], -j, "left")) for j in range(width)]
+    active = np.searchsorted(-lengths[order], -np.arange(width), "left").tolist()
 
     def each() -> Iterator[Bits]:
-        history = np.zeros(len(pieces), "uint64")
+        history = np.zeros(len(order), "uint64")
         masks = np.array([(1 << 8 * n) - 1 for n in ORDERS], "uint64")[:, None]
         salts = (np.arange(1, len(ORDERS) + 1, dtype="uint64") * MULTIPLIERS[2])[:, None]
         for j in range(width):
             n = active[j]
-            key = history[:n] << np.uint64(8) | letters[:n, j].astype("uint64")
+            key = history[:n] << np.uint64(8) | letters.take(starts[:n] + j).astype("uint64")
             history[:n] = key & masks[-1]
             key, one, times = np.unique(key, return_inverse=True, return_counts=True)
             letter = key & np.uint64(255)
@@ -115,7 +137,7 @@ def bits_of(words: list[bytes]) -> tuple[Iterator[Bits], np.ndarray, np.ndarray]
                 node = node << np.uint64(1) | bit
         return
 
-    return each(), np.array(owner, "int64"), lengths
+    return each(), owner, lengths
 
 
 def _weight(counts: np.ndarray) -> np.ndarray:
@@ -155,6 +177,14 @@ def _predicted(table: np.ndarray | Prepared, part: Bits, own: int) -> tuple[np.n
     return _stretched(zeros, ones), known * 8 + part.place
 
 
+def _weighted(stretched: np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The mixed predictions, stretched; weights (gate, order)."""
+    total = np.zeros(len(gate))
+    for own, values in zip(np.ascontiguousarray(weights.T), stretched, strict=True):
+        total += own.take(gate) * values
+    return np.clip(total, -20, 20)
+
+
 class Prepared(NamedTuple):
     """What ``_predicted`` makes of every slot (and, without a word's own count, of either bit)."""
 
@@ -183,7 +213,7 @@ def learn_weights(words: list[bytes], table: np.ndarray | Prepared, weights: np.
         bits, *_ = bits_of(words[start : start + MINIBATCH])
         for part in bits:
             stretched, gate = _predicted(table, part, 1)
-            mixed = 1 / (1 + np.exp(-np.clip((weights[gate] * stretched.T).sum(1), -20, 20)))
+            mixed = 1 / (1 + np.exp(-_weighted(stretched, gate, weights)))
             level, pull = gate >> 3, part.times * (part.bit - mixed) * stretched
             passed = np.bincount(level, part.times, LEVELS)
             size = np.bincount(level, part.times * (stretched**2).mean(0), LEVELS)
@@ -202,8 +232,8 @@ def spelled(words: list[bytes], table: np.ndarray | Prepared, weights: np.ndarra
         total = np.zeros(len(lengths))
         for part in bits:
             stretched, gate = _predicted(table, part, 0)
-            mixed = np.clip((weights[gate] * stretched.T).sum(1), -20, 20)
-            byte = -np.logaddexp(0, np.where(part.bit == 1, -mixed, mixed)) + (byte if part.place else 0)
+            mixed = _weighted(stretched, gate, weights)
+            byte = (byte if part.place else 0) - np.log(1 + np.exp(mixed * (1 - 2 * part.bit)))
             if part.place == 7:
                 total[part.words] += byte[part.one]
         np.add.at(out[start : start + SPELLED], owner, total)
@@ -306,25 +336,13 @@ def count_words(texts: DataFrame) -> DataFrame:
     """``word`` and ``count``, over the texts with ``_train``; words of other texts alone count 0."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def flushed() -> pa.RecordBatch:
-            for word in counts[0]:
-                counts[1].setdefault(word, 0)
-            words, numbers = list(counts[1]), list(counts[1].values())
-            every = [n + counts[0][w] for w, n in zip(words, numbers, strict=True)]
-            for counter in counts:
-                counter.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(numbers, pa.int64()), pa.array(every, pa.int64())],
-                ["word", "count", "every"],
-            )
-
-        for train, text in rows(batches):
-            counts[bool(train)].update(words_of(text))
-            if len(counts[0]) + len(counts[1]) > COUNTER_ENTRIES:
-                yield flushed()
-        yield flushed()
+        for batch in in_slices(batches, "_text", SLICE):
+            words, sizes = split_words(batch.column("_text"))
+            found = words.dictionary_encode()
+            codes, every = found.indices.to_numpy(), len(found.dictionary)
+            train = np.repeat(batch.column("_train").to_numpy(zero_copy_only=False).astype(bool), sizes)
+            columns = [np.bincount(own, minlength=every) for own in (codes.compress(train), codes)]
+            yield pa.RecordBatch.from_arrays([found.dictionary, *map(pa.array, columns)], ["word", "count", "every"])
 
     parts = texts.select("_train", "_text").mapInArrow(counted, "word binary, count long, every long")
     summed = parts.groupBy("word").agg(F.sum("count").alias("count"), F.sum("every").alias("every"))
@@ -336,12 +354,15 @@ def _columns(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray]:
 
 
 def by_significance(counts: np.ndarray) -> bytes:
-    """Lowest bytes first, then the next ones: the higher ones, nearly all of them zero, are compressed away."""
-    return np.ascontiguousarray(counts.view("uint8").reshape(-1, 4).T).tobytes()
+    """Lowest bytes first, then the next ones: the higher ones, nearly all of them zero, are compressed away. The codec
+    shortens frequent bytes, too, which that of a shuffle does not."""
+    plain = np.ascontiguousarray(counts.view("uint8").reshape(-1, 4).T)
+    return len(counts).to_bytes(4, "little") + pa.Codec("zstd", 1).compress(plain, asbytes=True)
 
 
 def from_significance(found: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(found, "uint8").reshape(4, -1).T).view("int32").ravel()
+    plain = pa.Codec("zstd").decompress(found[4:], 4 * int.from_bytes(found[:4], "little"))
+    return np.ascontiguousarray(np.frombuffer(plain, "uint8").reshape(4, -1).T).view("int32").ravel()
 
 
 def counts_of(parts: DataFrame, shape: tuple[int, int], add: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
