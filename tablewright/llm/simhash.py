@@ -192,7 +192,9 @@ def links(nodes: DataFrame, ring: Ring, words: int, indexed: int, most: int) ->
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = (
-        keyed.join(counts, "key")
+        # By merge: Spark takes the exploded keys for no larger than the compressed file of the nodes, and broadcasts them.
+        keyed.hint("merge")
+        .join(counts, "key")
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("words"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

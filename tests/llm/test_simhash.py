@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import queries, simhash
 from tablewright.llm.components import connected_components
+from tests.helpers import plan
 from tests.llm.conftest import SF_DIR
 
 
@@ -79,6 +80,19 @@ def test_links_equal_all_pairs(spark, ring, block, monkeypatch):
     assert plain_groups(prints, lambda a, b: frozenset((a, b)) in joined) == plain_groups(prints, linked)
 
 
+def test_the_exploded_keys_are_not_broadcast(spark, tmp_path):
+    source = np.random.default_rng(9)
+    prints = [int(p) for p in source.integers(-(2**63), 2**63, 500)]
+    prints += [p ^ 1 for p in prints[:20]]
+    path = str(tmp_path / "nodes")
+    spark.createDataFrame([([p],) for p in prints], "words array<long>").write.parquet(path)
+    edges = simhash.links(spark.read.parquet(path), simhash.CONTRACT_RING, words=1, indexed=1, most=3)
+    assert "Broadcast" not in plan(edges)
+    found = {frozenset(int.from_bytes(x, "little", signed=True) for x in r) for r in edges.collect()}
+    assert found == {frozenset((p, p ^ 1)) for p in prints[:20]}
+    assert "Broadcast" not in plan(edges)  # the plan that ran
+
+
 def test_components_of_chains_and_hubs(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(7, i) for i in range(1000, 1200)]
